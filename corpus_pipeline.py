@@ -1,8 +1,81 @@
-"""A corpus pipeline of five operators, each stage written and read again."""
+"""A corpus pipeline of five operators, each stage written and read again.
 
-STAGES = []
+Each stage works on all rows that the one before it kept, and returns the columns of documents; the last returns the
+packed pieces. Rows that share a doc_id count as one document: they stay or go together, and after the second stage
+there is one row for each doc_id. A row without doc_id stays unless its text is rejected or equals one that has an id.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from graphloom.llm import mixing, packing, quality, secret_scan
+from graphloom.llm.common import fresh_dir, small, stored, table
+from graphloom.llm.jaccard_join import jaccard_classes
+
+VOCABULARY = "word_bpe_49k.json"
+
+
+def _having(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """Rows of docs whose doc_id, null included, is in ids."""
+    ids = stored(ids.select(F.col("doc_id").alias("_id")).distinct(), name)
+    return docs.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return _having(docs, quality.judged(docs, table(spark, sf_dir, "labels")).where("kept"), "kept")
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents with like shingles, the one with the least doc_id."""
+    classes = stored(jaccard_classes(docs), "classes")
+    one = classes.where("component_id is null or doc_id = component_id")
+    left = _having(docs, one, "first")
+    often = stored(one.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_often")), "often")
+    repeated = left.join(small(often), F.col("doc_id") == F.col("_often"), "left_semi").dropDuplicates(["doc_id"])
+    return left.join(small(often), F.col("doc_id") == F.col("_often"), "left_anti").unionByName(repeated)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret; n_chars follows the text."""
+    rows = secret_scan.scan(docs.select(F.struct("*").alias("_row"), "text"))
+    text = secret_scan.redacted(F.col("text"), F.col("spans"))
+    fields = {c: F.col("_row").getField(c) for c in docs.columns} | {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        fields["n_chars"] = F.when(F.size("spans") > 0, F.char_length(text).cast(kind)).otherwise(fields["n_chars"])
+    return rows.select(*(fields[c].alias(c) for c in docs.columns))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    mixed = mixing.mix(docs.select("doc_id", "source", "text", F.struct("*").alias("_row")), keep=("_row",))
+    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes."""
+    return packing.pack(docs, public_tokenizers.path(VOCABULARY))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("secret_scans", secret_scans),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
+]
+
+#: SQL can't tell a tokenizer's ids, nor the hashes that the quality model counts by; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(at := fresh_dir(spark, name))
+        docs = spark.read.parquet(at)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,24 +1,74 @@
-"""The registered queries of this subpackage: each applies one operator to its whole table."""
+"""The registered queries of this subpackage: each applies one operator to its whole table.
+
+SQL twins are plain statements of what an operator must find, not of how it finds it.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat_format, chunk_store, language_id, license_scan, mixing, packing, quality, secret_scan, vector_dedup
 from .common import table
 from .jaccard_join import jaccard_classes
 
+WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_store.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+#: Two turns that say what the template's own marks say.
+MARKS_IN_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKS_IN_TEXT).alias("text"))
+    return chat_format.digest(turns.unionByName(own))
+
+
 #: Classes of texts by links of at least 80 %, in plain SQL: all shared shingles, then the closure of the links.
 OP9_SQL = r"""
 with recursive w as (
-  select doc_id, list_filter(string_split_regex(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select doc_id, list_filter(string_split_regex(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents
 ), s as (
-  select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+  select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
                                     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
   from w
 ), g as (
@@ -38,5 +88,153 @@ with recursive w as (
 select s.doc_id, len(s.s)::bigint as n_shingles, least.component_id from s join least on s.doc_id = least.a
 """
 
-QUERIES = {"op9_ngram_jaccard_join": op9_ngram_jaccard_join}
-ORACLE = {"op9_ngram_jaccard_join": OP9_SQL}
+
+def _sql_spans(kind: str, rank: int, pattern: str, good: str = "true") -> str:
+    p = pattern.replace("'", "''")
+    return f"""
+  select doc_id, {rank} as rank, '{kind}' as kind, place as start, place + length(m) as stop, m from (
+    select doc_id, ms[i] as m, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)::bigint + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0)::bigint as place from (
+      select doc_id, ms, gaps, unnest(range(1, len(ms) + 1)) as i from (
+        select doc_id, regexp_extract_all(t, '{p}', 0) as ms, string_split_regex(t, '{p}') as gaps from docs))) where {good}"""
+
+
+def _op1_sql() -> str:
+    good = f"length(regexp_extract(m, '{secret_scan.ASSIGN.replace(chr(39), chr(39) * 2)}', 2)) >= {secret_scan.ASSIGN_LEAST}"
+    most, w = secret_scan.MOST_SUM, secret_scan.WINDOW
+    allowed = secret_scan.ALLOWED
+    terms = "[" + ", ".join(map(str, secret_scan.TERMS)) + "]"
+    window = f"list_sum(list_transform(list_distinct(string_split(m[k:k + {w - 1}], '')), lambda c: {terms}[len(list_filter(string_split(m[k:k + {w - 1}], ''), lambda d: d = c)) + 1]))"
+    return f"""
+with docs as (select doc_id, coalesce(text, '') as t from documents), base as ({_sql_spans("assign", 0, secret_scan.ASSIGN, good)}
+  union all {_sql_spans("access", 1, secret_scan.ACCESS)}
+  union all {_sql_spans("hex", 2, secret_scan.HEX)}
+), strings as ({_sql_spans("entropy", 3, secret_scan.CANDIDATE)}
+), scored as (
+  select *, (select min({window}) from (select unnest(range(1, length(m) - {w} + 2)) as k)) as least from strings
+), more as (
+  select doc_id, rank, kind, start, stop from scored s
+  where not regexp_matches(m, '{allowed}')
+    and least <= case when regexp_full_match(m, '[0-9a-fA-F]+') then {most["hex"]} when not regexp_matches(m, '[0-9]') then {most["letters"]} else {most["mixed"]} end
+    and not exists (select 1 from base b where b.doc_id = s.doc_id and b.start < s.stop and s.start < b.stop)
+), spans as (
+  select doc_id, rank, kind, start, stop from base union all select * from more
+), by_doc as (
+  select doc_id, sum((rank = 0)::int)::bigint as n_assign, sum((rank = 1)::int)::bigint as n_access, sum((rank = 2)::int)::bigint as n_hex,
+    sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank, stop) filter (where rank < 3), '')) as base_sha256,
+    string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank, stop) as spans
+  from spans group by doc_id
+)
+select d.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
+  coalesce(base_sha256, sha256('')) as base_sha256, coalesce(spans, '') as spans
+from docs d left join by_doc b on d.doc_id = b.doc_id
+"""
+
+
+OP5_SQL = """
+with recursive v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95
+), reach as (
+  select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on r.b = l.a
+), least as (select a, min(b) as component_id from reach group by a),
+counts as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(c.n, 0)::bigint as n_links, l.component_id, e.vec_id = l.component_id as kept
+from embeddings e join least l on e.vec_id = l.a left join counts c on e.vec_id = c.a
+"""
+
+
+def _op6_sql() -> str:
+    shingles = [(x["stride"], x["window"], k, s) for x in license_scan.classes() for k in x["names"] for s in license_scan.shingles_of(license_scan.TEMPLATES[k])]
+    values = ", ".join(f"({a}, {b}, '{k}', '{s}', {len(license_scan.shingles_of(license_scan.TEMPLATES[k]))})" for a, b, k, s in shingles)
+    return f"""
+with template(stride, width, name, s, of_) as (values {values}), w as (
+  select doc_id, list_filter(string_split_regex(coalesce(translate(text, '{license_scan.UPPER}', '{license_scan.LOWER}'), ''), '[^a-z0-9]+'), lambda x: x <> '') as w from documents
+), placed as (
+  select doc_id, len(w) - 4 as n, i - 1 as place, array_to_string(w[i:i + 4], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w)
+), hit as (
+  select doc_id, name, p.s, of_, stride, unnest(range(greatest(0, (place - width + stride) // stride), place // stride + 1)) as k from placed p join template t on p.s = t.s
+), held as (
+  select doc_id, name, k, count(distinct s) / any_value(of_) as held from hit group by doc_id, name, k having 100 * count(distinct s) >= {license_scan.HELD} * any_value(of_)
+), by_doc as (
+  select doc_id, count(distinct name) as n, string_agg(distinct name, ',' order by name) as licenses, max(held) as held from held group by doc_id
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_licenses, coalesce(licenses, '') as licenses, coalesce(held, 0)::double as held
+from documents d left join by_doc b on d.doc_id = b.doc_id
+"""
+
+
+def _op8_sql() -> str:
+    weights = "[" + ", ".join(map(str, mixing.WEIGHTS)) + "]"
+    most, share = mixing.MOST_COPIES, mixing.SHARE
+    return rf"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents
+), sources as (
+  select source, sum(size)::bigint as source_size from sized group by source
+), weighed as (
+  select *, {weights}[(row_number() over (order by source nulls last) - 1) % {len(mixing.WEIGHTS)} + 1] as weight, row_number() over (order by source nulls last) as place from sources
+), shared as (
+  select *, {share}::double * sum(source_size) over () - {most} * coalesce(sum(source_size) over lean, 0) as rest, sum(weight) over () - coalesce(sum(weight) over lean, 0) as weight_left
+  from weighed window lean as (order by source_size::double / weight, place rows between unbounded preceding and 1 preceding)
+), stopped as (
+  select *, {most} * source_size * weight_left <= rest * weight as stops from shared
+), target as (
+  select source, source_size, (case when stops then {most} * source_size else (select f.rest from stopped f where not f.stops order by f.source_size::double / f.weight, f.place limit 1) * weight
+    / (select f.weight_left from stopped f where not f.stops order by f.source_size::double / f.weight, f.place limit 1) end)::double as target from stopped
+), odds as (
+  select d.doc_id, d.source, d.size, t.source_size, t.target, case when t.source_size > 0 then floor(t.target / t.source_size) else 0 end as whole,
+    case when t.source_size > 0 then t.target / t.source_size else 0 end as expected,
+    (('0x' || substr(md5('{mixing.SEED}:' || d.doc_id), 1, 12))::bigint::double + 0.5) / 281474976710656::double as u
+  from sized d join target t on d.source is not distinct from t.source
+), ranked as (
+  select *, expected - whole as p, target - whole * source_size as lacks, (u / (1 - u)) / ((expected - whole) / (1 - (expected - whole))) as rank from odds
+), ahead as (
+  select *, coalesce(sum(size) over (partition by source order by rank, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before from ranked
+)
+select doc_id, size, source_size, target, ((whole + (p > 0 and before + size / 2 <= lacks)::int) * size)::bigint as taken from ahead
+"""
+
+
+def _op10_sql() -> str:
+    role = "case role when 'user' then {0} when 'assistant' then {1} when 'system' then {2} else {3} end"
+    around = [len(a) + len(b) for a, b in (chat_format.USER, chat_format.ASSISTANT, chat_format.SYSTEM)]
+    marks = role.format(*around, f"{sum(map(len, chat_format.OTHER))} + 2 * octet_length(encode(role))")
+    return rf"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '{MARKS_IN_TEXT}'), (-7, 1, 'assistant', '{MARKS_IN_TEXT}')
+), written as (
+  select *, {marks} + length(text) + length(text) - length(replace(text, '\', '')) + len(regexp_extract_all(text, '{chat_format.MARK}')) as chars from turns
+)
+select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256, sum(chars)::bigint as formatted_chars
+from written group by conv_id
+"""
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_best_fit_packing,
+        op3_language_id,
+        op4_chunk_store,
+        op5_embedding_near_dedup,
+        op6_license_scan,
+        op7_quality_rules,
+        op8_source_mixing,
+        op9_ngram_jaccard_join,
+        op10_chat_formatting,
+    )
+}
+ORACLE = {
+    "op1_secret_scan": _op1_sql(),
+    "op5_embedding_near_dedup": OP5_SQL,
+    "op6_license_scan": _op6_sql(),
+    "op8_source_mixing": _op8_sql(),
+    "op9_ngram_jaccard_join": OP9_SQL,
+    "op10_chat_formatting": _op10_sql(),
+}
