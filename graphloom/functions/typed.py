@@ -6,6 +6,7 @@ it into a second DataFrame with the reason.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +54,9 @@ def integer(text: Column, kind: str) -> Column:
     return F.when(whole & (wide >= F.lit(str(least)).cast("decimal(38,0)")) & (wide <= F.lit(str(most)).cast("decimal(38,0)")), wide).try_cast(spark_type)
 
 
-@F.pandas_udf("string")
-def _int128(high, low):
-    return (high.map(int, na_action="ignore") * 2**64 + low.map(int, na_action="ignore")).map(str, na_action="ignore").where(high.notna() & low.notna(), None)
+@F.pandas_udf(T.StringType())
+def _int128(high: pd.Series, low: pd.Series) -> pd.Series:
+    return pd.Series([None if h is None or w is None else str(int(h) * 2**64 + int(w)) for h, w in zip(high, low, strict=True)], dtype=object)
 
 
 def int128(high: Column, low: Column) -> Column:
