@@ -139,7 +139,7 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
     """One row for each of docs: doc_id, the counts, base_failed, score, threshold and kept.
 
     Trusted texts are those with quality 1 in labels(doc_id, quality); the others with a label count against a
-    threshold only. The threshold parts the two best (by the mean of the shares that it gets right, the lowest of
+    threshold only. The threshold parts the two best (by the sum of the shares that it gets right, the lowest of
     equals) among those that keep the share keep_trusted of the trusted ones. Without trusted texts there is no
     model and the base rules decide alone; without others, the threshold keeps that share. A null or empty text has
     no word and fails the base rules. If a document has labels that differ, the best one counts; a null doc_id has
@@ -171,18 +171,19 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
 
 
 def threshold(seen: list[tuple[int, int, int]], keep_trusted: float) -> int | None:
-    """The lowest step to keep, from (step, trusted, others) in rising order."""
+    """The lowest step to keep, from (step, trusted, others) in rising order: midway between the best step and the
+    next lower one that is seen, so texts like the kept ones have some room below them."""
     good, bad = sum(x[1] for x in seen), sum(x[2] for x in seen)
     if not good:
         return None
-    best, lost_good, lost_bad = None, 0, 0
+    best, lost_good, lost_bad, lower = None, 0, 0, None
     for step, g, b in seen:
         if lost_good > (1 - keep_trusted) * good:
             break
         right = (good - lost_good) / good + (lost_bad / bad if bad else lost_good / good)
         if best is None or right > best[0] + 1e-12:
-            best = (right, step)
-        lost_good, lost_bad = lost_good + g, lost_bad + b
+            best = (right, step if lower is None else (lower + step + 1) // 2)
+        lost_good, lost_bad, lower = lost_good + g, lost_bad + b, step
     return best[1]
 
 
