@@ -151,7 +151,7 @@ def driver_graph(spark: SparkSession, sf_dir: str) -> Graph:
     g.add_rels("Placed", edge("orders", "o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus"), "Customer", "Orders")
     g.add_rels("Contains", edge("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"), "Orders", "Part")
     g.add_rels("Located", t["part"].where("p_partkey > 0").select(F.col("p_partkey").alias("src"), F.expr("p_partkey div 10").alias("dst")), "Part", "Part")
-    n = t["customer"].count()
-    knows = t["customer"].select(F.col("c_custkey").alias("src"), F.explode(F.array(F.lit(1), F.lit(2))).alias("j"))
-    g.add_rels("Knows", knows.select("src", ((F.col("src") * 7 * F.col("j") + 3) % n).alias("dst"), F.col("j").alias("since")), "Customer", "Customer")
+    total = F.broadcast(t["customer"].agg(F.count("*").alias("n")))  # one row
+    knows = t["customer"].select(F.col("c_custkey").alias("src"), F.explode(F.array(F.lit(1), F.lit(2))).alias("j")).crossJoin(total)
+    g.add_rels("Knows", knows.select("src", ((F.col("src") * 7 * F.col("j") + 3) % F.col("n")).alias("dst"), F.col("j").alias("since")), "Customer", "Customer")
     return g
