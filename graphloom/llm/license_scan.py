@@ -6,8 +6,8 @@ longest template lies whole in one of them. That bounds from below the Jaccard s
 template that it holds to the needed share, and the number of bands (of one row) follows from the probability that
 at least one must agree. A retrieved pair counts if the window holds that share of the template's shingles exactly.
 
-Before that, texts drop out that can't match: they lack every anchor word, and the shingles without an anchor word
-are less than the needed share of each template. The anchors are computed from the templates.
+Before that, texts and windows drop out that can't match: they lack every anchor word, and the shingles without an
+anchor word are less than the needed share of each template. The anchors are computed from the templates.
 """
 
 from __future__ import annotations
@@ -103,6 +103,17 @@ def _shingles(text: Column) -> Column:
     return F.get(whole, F.lit(0))
 
 
+def _windows(number: int, x: dict) -> Column:
+    """The windows of a class that hold a shingle with an anchor word, of the columns s (shingles) and at (their places)."""
+    stride, width = F.lit(x["stride"]), F.lit(x["window"])
+
+    def over(p: Column) -> Column:
+        return F.sequence(F.greatest(F.lit(0), F.floor((p - width + stride) / stride)).cast("int"), F.floor(p / stride).cast("int"))
+
+    numbers = F.array_distinct(F.flatten(F.transform("at", over)))
+    return F.transform(numbers, lambda k: F.struct(F.lit(number).alias("class"), (k * stride).alias("window_start"), F.slice("s", k * stride + 1, width).alias("window")))
+
+
 def _template_signatures(spark: SparkSession, names: list[str], bands: int) -> dict[str, list[int]]:
     """Of the fixed templates alone: a dozen rows."""
     rows = spark.createDataFrame([(k, shingles_of(TEMPLATES[k])) for k in names], "name string, s array<string>")
@@ -116,23 +127,23 @@ def matches(docs: DataFrame, held: int = HELD) -> DataFrame:
     own; other columns are not read.
     """
     spark = docs.sparkSession
-    could = docs.select("doc_id", "text").where(F.col("text").rlike("(?i)" + "|".join(anchors(held))))
-    cut = could.select("doc_id", _shingles(F.col("text")).alias("s")).where(F.size("s") > 0)
-    found = None
-    for x in classes(held):
-        signatures = _template_signatures(spark, x["names"], x["bands"])
-        at = cut.select("doc_id", "s", F.explode(F.sequence(F.lit(0), F.size("s") - 1, F.lit(x["stride"]))).alias("window_start"))
-        window = at.select("doc_id", "window_start", F.slice("s", F.col("window_start") + 1, x["window"]).alias("window"))
-        signed = window.withColumn("bands", _signature(F.col("window"), x["bands"]))
-        options = []
-        for name in x["names"]:
-            agrees = F.arrays_overlap("bands", F.array(*(F.lit(v) for v in signatures[name])))
-            own = F.array(*map(F.lit, shingles_of(TEMPLATES[name])))
-            options.append(F.struct(F.lit(name).alias("template"), F.when(agrees, F.size(F.array_intersect("window", own))).otherwise(0).alias("n"), F.lit(len(shingles_of(TEMPLATES[name]))).alias("of")))
-        each = signed.select("doc_id", "window_start", F.explode(F.array(*options)).alias("m"))
-        good = each.where(100 * F.col("m.n") >= held * F.col("m.of")).select("doc_id", F.col("m.template").alias("template"), "window_start", (F.col("m.n") / F.col("m.of")).alias("held"))
-        found = good if found is None else found.unionByName(good)
-    return found
+    own_classes, words = classes(held), "|".join(anchors(held))
+    could = docs.select("doc_id", "text").where(F.col("text").rlike(f"(?i){words}"))
+    cut = could.select("doc_id", _shingles(F.col("text")).alias("s"))
+    at = F.filter(F.transform("s", lambda x, i: F.when(x.rlike(rf"\b({words})\b"), i)), lambda i: i.isNotNull())
+    cut = cut.withColumn("at", at).where(F.size("at") > 0)
+    windows = cut.select("doc_id", F.explode(F.flatten(F.array(*(_windows(k, x) for k, x in enumerate(own_classes))))).alias("w")).select("doc_id", "w.*")
+    bands = F.coalesce(*(F.when(F.col("class") == k, _signature(F.col("window"), x["bands"])) for k, x in enumerate(own_classes)))
+    signed = windows.withColumn("bands", bands)
+    options = []
+    for k, x in enumerate(own_classes):
+        for name, signature in _template_signatures(spark, x["names"], x["bands"]).items():
+            agrees = (F.col("class") == k) & F.arrays_overlap("bands", F.array(*map(F.lit, signature)))
+            own = shingles_of(TEMPLATES[name])
+            n = F.when(agrees, F.size(F.array_intersect("window", F.array(*map(F.lit, own))))).otherwise(0)
+            options.append(F.struct(F.lit(name).alias("template"), n.alias("n"), F.lit(len(own)).alias("of")))
+    each = signed.select("doc_id", "window_start", F.explode(F.array(*options)).alias("m"))
+    return each.where(100 * F.col("m.n") >= held * F.col("m.of")).select("doc_id", F.col("m.template").alias("template"), "window_start", (F.col("m.n") / F.col("m.of")).alias("held"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
