@@ -29,7 +29,7 @@ from .tokens import encoder
 
 END_ID = 0
 #: Chunk sizes in ids: least, about the mean less the least, most.
-LEAST, MEAN, MOST = 64, 512, 4096
+LEAST, MEAN, MOST = 64, 1024, 8192
 WINDOW = 8
 #: Digests of bodies that a task remembers to have sent.
 REMEMBERED = 200_000
@@ -204,7 +204,7 @@ def read_back(spark: SparkSession, at: str) -> DataFrame:
     named = recipes.join(sums, F.col("digest") == F.col("d"), "left")
     parts = named.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("place", "digest", "n", "held", "crc")).alias("parts"))
     whole = manifests.join(parts, F.col("row") == F.col("r"), "left").select("doc_id", "n_chunks", "n_tokens", "root", F.coalesce("parts", F.array().cast("array<struct<place:int,digest:binary,n:bigint,held:bigint,crc:bigint>>")).alias("parts"))
-    found = whole.mapInArrow(_documents, "doc_id long, n_tokens long, ids_crc32 long, n_chunks int, merkle_root string")
+    found = stored(whole.mapInArrow(_documents, "doc_id long, n_tokens long, ids_crc32 long, n_chunks int, merkle_root string"), "found")
     # running totals over ranges of doc_id: sums of the ranges first, then within each
     ranged = stored(found.repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ranged")
     ahead = ranged.groupBy(F.col("range").alias("g")).agg(F.sum("n_tokens").alias("sum")).withColumn("ahead", F.coalesce(F.sum("sum").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("g", "ahead")

@@ -9,6 +9,7 @@ blank belongs to the next piece, texts with other white space are encoded whole.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 CACHE_CUTS = 500_000
 #: Bytes of a longest cut that is kept.
 LONGEST_KEPT = 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 LETTER_AND_MARK = r"(\p{L})([!-/:-@\[-`{-~])"
 #: White space other than blank and line feed, and the mark below.
 ODD_SPACE = r"[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -39,7 +40,7 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for k in range(0, len(texts), 500):
-            out += [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts[k : k + 500], add_special_tokens=False)]
+            out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[k : k + 500], add_special_tokens=False)]
         return out
 
     def _known(self, cuts: list[str]) -> list[bytes]:
@@ -47,9 +48,11 @@ class Encoder:
             self.kept.clear()
         kept = self.kept
         new = [x for x in cuts if x not in kept]
-        found = dict(zip(new, self._encode(new), strict=True))
-        kept.update((k, v) for k, v in found.items() if len(k) <= LONGEST_KEPT)
-        return [kept[x] if x in kept else found[x] for x in cuts]
+        kept.update(zip(new, self._encode(new), strict=True))
+        known = list(map(kept.__getitem__, cuts))
+        for x in {x for x in new if len(x) > LONGEST_KEPT}:
+            del kept[x]
+        return known
 
     def slices(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of consecutive rows in a row, where each row's begin and the last ends). Nulls are empty."""
@@ -77,7 +80,7 @@ class Encoder:
         codes, vocabulary = np.asarray(coded.indices, np.int64), coded.dictionary.to_pylist()
         whole: dict[int, bytes] = {}
         if self.blank_in_piece:
-            odd = np.array([x in ("", "\n") for x in vocabulary], bool)
+            odd = np.fromiter((x == "" or x == "\n" for x in vocabulary), bool, len(vocabulary))
             bad = np.add.reduceat(odd[codes], at[:-1]) > 0
             bad |= np.asarray(pc.match_substring_regex(texts, ODD_SPACE))
             rows = np.flatnonzero(bad)
@@ -85,18 +88,10 @@ class Encoder:
             firsts = [vocabulary[c] for c in codes[at[:-1]]]
             codes[at[:-1]] = len(vocabulary) + np.arange(len(firsts))
             vocabulary = [x[1:] if x[:1] == "\x00" else x if x[:1] == "\n" or not x else " " + x for x in vocabulary] + firsts
-        else:
-            odd = None
-        known = self._known(list(dict.fromkeys(vocabulary))) if self.blank_in_piece else self._known(vocabulary)
-        if self.blank_in_piece:
-            place = dict(zip(dict.fromkeys(vocabulary), known, strict=True))
-            known = [place[x] for x in vocabulary]
+        known = self._known(vocabulary)
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), "<u4")
-        begin = np.cumsum(size) - size
-        n = size[codes]
-        to = np.cumsum(n)
-        ids = flat[np.repeat(begin[codes] - (to - n), n) + np.arange(to[-1] if len(to) else 0)]
+        ids = np.frombuffer(b"".join(map(known.__getitem__, codes.tolist())), "<u4")
+        to = np.cumsum(size[codes])
         bounds = np.concatenate([[0], to])[at]
         if whole:
             parts = [np.frombuffer(whole[k], "<u4") if k in whole else ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
