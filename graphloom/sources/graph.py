@@ -133,10 +133,22 @@ def internal_ids(df: DataFrame, pk: str, table_id: int) -> DataFrame:
     return joined.select(*df.columns, F.lit(table_id).alias("table_id"), (F.col("_ahead") + F.col("_place")).alias("offset"))
 
 
+#: Declared schemas of the driver's tables: opening them reads no footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def driver_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The graph over the driver's tables: foreign keys as relationships, a tree of parts, two contacts a customer."""
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    t = {k: read(k) for k in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")}
+    t = {k: spark.read.schema(v).parquet(f"{sf_dir}/{k}.parquet") for k, v in SCHEMAS.items()}
     g = Graph(spark)
     for label, name, pk in (("Region", "region", "r_regionkey"), ("Nation", "nation", "n_nationkey"), ("Customer", "customer", "c_custkey"), ("Supplier", "supplier", "s_suppkey"), ("Part", "part", "p_partkey"), ("Orders", "orders", "o_orderkey")):
         g.add_nodes(label, t[name], pk)
