@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Cuts that a worker keeps; when they are full, it starts anew.
-CACHE_CUTS = 500_000
+#: Cuts that a worker keeps: two generations of half as many. When the young one is full it becomes the old one, and
+#: what the texts use again moves to the young one.
+CACHE_CUTS = 800_000
 #: Bytes of a longest cut that is kept.
 LONGEST_KEPT = 64
 SLICE_BYTES = 8 << 20
@@ -36,6 +37,7 @@ class Encoder:
         a, b = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("a", " a"))
         self.blank_in_piece = a != b
         self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -44,10 +46,12 @@ class Encoder:
         return out
 
     def _known(self, cuts: list[str]) -> list[bytes]:
-        if len(self.kept) > CACHE_CUTS:
-            self.kept.clear()
-        kept = self.kept
+        if len(self.kept) > CACHE_CUTS // 2:
+            self.kept, self.old = {}, self.kept
+        kept, old = self.kept, self.old
         new = [x for x in cuts if x not in kept]
+        kept.update((x, old[x]) for x in new if x in old)
+        new = [x for x in new if x not in old]
         kept.update(zip(new, self._encode(new), strict=True))
         known = list(map(kept.__getitem__, cuts))
         for x in {x for x in new if len(x) > LONGEST_KEPT}:
