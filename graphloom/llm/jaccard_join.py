@@ -112,7 +112,7 @@ def _parity(u: np.ndarray) -> bytes:
     return np.packbits(np.bincount((u >> np.uint64(3)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int):
+def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, list_rows: int):
     """Rows by kind: s, a subset (size c in place); l, a rare shingle of the set (its place in the order); b, the bitmap."""
     lists_from = -(-percent * boundary // 100)
 
@@ -153,8 +153,8 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int):
                     order = (common << np.uint64(48)) | (u >> np.uint64(16))
                     p = min(prefix(n, percent), n)
                     first = np.sort(np.partition(order, p - 1)[:p])
-                    parts = (first >> np.uint64(48)) // np.uint64(LIST_ROWS) + np.uint64(1)
-                    part = np.where(parts > 1, mix(first ^ np.uint64(ids[row] & (2**63 - 1))) % parts, 0)
+                    parts = np.minimum((first >> np.uint64(48)) // np.uint64(list_rows) + np.uint64(1), np.uint64(255))
+                    part = np.where(parts > 1, mix(first ^ np.uint64(ids[row] & (2**63 - 1))) % parts + np.uint64(1), np.uint64(0))
                     put(1, (first << np.uint64(8)) | part, row, n, np.arange(p))
                     bits_of.append(int(ids[row]))
                     bits.append(_parity(u))
@@ -246,7 +246,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int, na
     return stored(dealt.mapInArrow(_against_centre(percent), "a long, b long"), f"{name}-links")
 
 
-def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE) -> DataFrame:
+def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, list_rows: int = LIST_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs(doc_id, text, ...).
 
     Two texts link when 100 * common shingles >= percent * shingles of either. component_id is the least doc_id
@@ -279,7 +279,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     others = of.select("doc_id").distinct().join(kept, F.col("doc_id") == F.col("rep"), "left_anti").select(F.col("doc_id").alias("copy"))
     others = stored(others, "copies")
     alone = texts.where("doc_id is not null").join(small(others), F.col("doc_id") == F.col("copy"), "left_anti")
-    signed = stored(alone.mapInArrow(_signatures(sketch, cells, percent, boundary, shingle), "kind string, key long, doc long, n int, place int, bits binary"), "signed", "kind")
+    signed = stored(alone.mapInArrow(_signatures(sketch, cells, percent, boundary, shingle, list_rows), "kind string, key long, doc long, n int, place int, bits binary"), "signed", "kind")
     by_subset, lists, bitmaps = (signed.where(F.col("kind") == k).drop("kind") for k in "slb")
 
     # Small sets: the smallest set of a subset links with each other one for which the subset is large enough.
@@ -287,8 +287,9 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE)
     near = by_subset.withColumn("least", F.min(F.struct("n", "doc")).over(w))
     small_links = near.where((F.col("doc") != F.col("least.doc")) & ((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("least.n")))).select(F.col("doc").alias("a"), F.col("least.doc").alias("b"))
 
-    # Inverted lists of two sets and more, with the one of the least place as centre.
-    scanned = lists.withColumn("centre", F.min(F.struct("place", "n", "doc")).over(w)).withColumn("others", F.max("doc").over(w) != F.min("doc").over(w)).where("others")
+    # Inverted lists of two sets and more, with the one of the least place as centre. A set that is alone in its part of
+    # a dealt list, where the part isn't 0, stays for the last scan, which finds the list's other parts.
+    scanned = lists.withColumn("centre", F.min(F.struct("place", "n", "doc")).over(w)).withColumn("others", F.max("doc").over(w) != F.min("doc").over(w)).where(F.col("others") | (F.col("key").bitwiseAND(F.lit(255)) > 0))
     scanned = stored(scanned.select(F.col("key").bitwiseAND(F.lit(~255)).alias("key"), "doc", "n", "place", F.col("centre.doc").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.place").alias("centre_place")), "lists")
 
     def fits(n, m, p, q):

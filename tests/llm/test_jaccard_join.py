@@ -49,6 +49,19 @@ def test_against_brute_force_with_odd_rows(spark):
     assert len(got) == len(rows)
 
 
+def test_lists_dealt_over_parts_lose_no_link(spark):
+    """Each list has two sets at most, and the copies make the sketch deal it over many parts."""
+    rnd = random.Random(11)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(40)]
+        texts += [" ".join(base)] * 12 + [" ".join([*base[:-1], "other"])]
+    rows = list(enumerate(texts))
+    for list_rows in (1, 5):
+        got = J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), list_rows=list_rows).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
+
+
 def test_repeated_rows_and_rows_without_id(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "z"), (9, "q r s t u v"), (7, "a b c d e f g")]
     got = sorted(((r["doc_id"], r["component_id"]) for r in J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
