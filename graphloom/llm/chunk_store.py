@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +29,8 @@ from .shingles import mix
 from .tokens import encoder
 
 END_ID = 0
-#: Chunk sizes in ids: least, about the mean less the least, most.
-LEAST, MEAN, MOST = 64, 1024, 8192
+#: Chunk sizes in ids: least, about the mean less the least, most. Well below a document and a shared passage.
+LEAST, MEAN, MOST = 16, 64, 1024
 WINDOW = 8
 #: Digests of bodies that a task remembers to have sent.
 REMEMBERED = 200_000
@@ -79,24 +80,32 @@ def _split(path: str, wide: bool, mean: int):
             for first, ids, at in encode.slices(batch.column(2)):
                 marks = np.flatnonzero((rolling(ids) & np.uint64(mean - 1)) == 0)
                 lo = np.searchsorted(marks, at)
-                out: list[tuple] = []
+                chunks, recipes, manifests = ([[] for _ in range(k)] for k in (2, 6, 6))
                 for k in range(len(at) - 1):
                     own = np.append(ids[at[k] : at[k + 1]], np.uint32(END_ID)).astype("<u4")
-                    row, name, digests, a = rows[first + k], names[first + k], [], 0
-                    for place, b in enumerate(cuts(marks[lo[k] : lo[k + 1]] - at[k], len(own))):
-                        part = own[a:b]
-                        digests.append(d := hashlib.sha256(part.tobytes()).digest())
-                        out.append(("recipe", row.to_bytes(8, "big"), row, name, place, d, b - a, None))
+                    raw, width = own.tobytes(), 4 if wide else 2
+                    body = raw if wide else own.astype("<u2").tobytes()
+                    row, name, a = rows[first + k], names[first + k], 0
+                    ends = cuts(marks[lo[k] : lo[k + 1]] - at[k], len(own))
+                    digests = []
+                    for b in ends:
+                        digests.append(d := hashlib.sha256(raw[4 * a : 4 * b]).digest())
                         if d not in sent:
                             if len(sent) >= REMEMBERED:
                                 sent.clear()
                             sent.add(d)
-                            out.append(("chunk", d, None, None, None, d, None, (part if wide else part.astype("<u2")).tobytes()))
+                            chunks[0].append(d)
+                            chunks[1].append(body[width * a : width * b])
                         a = b
-                    out.append(("manifest", row.to_bytes(8, "big"), row, name, len(digests), merkle_root(digests), len(own), None))
-                columns = list(zip(*out, strict=True)) if out else [[]] * 8
-                kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=_NAMES)
+                    n, part = len(ends), row.to_bytes(8, "big")
+                    for c, x in zip(recipes, ([part] * n, [row] * n, [name] * n, range(n), digests, np.diff(ends, prepend=0).tolist()), strict=True):
+                        c.extend(x)
+                    for c, x in zip(manifests, (part, row, name, n, merkle_root(digests), len(own)), strict=True):
+                        c.append(x)
+                none = [None] * len(chunks[0])
+                for kind, columns in (("chunk", [chunks[0], none, none, none, chunks[0], none, chunks[1]]), ("recipe", [*recipes, [None] * len(recipes[0])]), ("manifest", [*manifests, [None] * len(manifests[0])])):
+                    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(columns[0]), pa.string()), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=_NAMES)
 
     return run
 
@@ -105,11 +114,12 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by kind and part: of chunks that are equal, the first."""
     last = None
     for batch in batches:
-        keep = []
-        for kind, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            keep.append(kind != "chunk" or part != last)
-            last = part if kind == "chunk" else last
-        yield batch.filter(pa.array(keep))
+        if not batch.num_rows:
+            continue
+        chunk, part = pc.equal(batch.column(0), "chunk"), batch.column(1)
+        fresh = pa.concat_arrays([pa.array([part[0].as_py() != last]), pc.not_equal(part.slice(1), part.slice(0, len(part) - 1))])
+        last = part[-1].as_py()
+        yield batch.filter(pc.or_(pc.invert(chunk), fresh))
 
 
 def write(docs: DataFrame, path: str, to: str, mean: int = MEAN) -> None:
@@ -162,18 +172,18 @@ def _zeros_operators() -> np.ndarray:
     return np.array(out)
 
 
-_zeros: list[np.ndarray] = []
+_zeros: list[list] = []
 
 
 def crc_joined(first: int, second: int, n_second: int) -> int:
     """CRC-32 of two byte strings in a row, from theirs and the length of the second."""
     if not _zeros:
-        _zeros.append(_zeros_operators())
+        _zeros.append(_zeros_operators().tolist())
     x, k = first, 0
     while n_second:
         if n_second & 1:
             t = _zeros[0][k]
-            x = int(t[0][x & 255] ^ t[1][(x >> 8) & 255] ^ t[2][(x >> 16) & 255] ^ t[3][x >> 24])
+            x = t[0][x & 255] ^ t[1][(x >> 8) & 255] ^ t[2][(x >> 16) & 255] ^ t[3][x >> 24]
         n_second, k = n_second >> 1, k + 1
     return x ^ second
 

@@ -100,6 +100,21 @@ def test_store_gives_back_every_stream(spark, docs, tmp_path):
     assert whole == sorted(((i, c) for i, _, c in want), key=repr)
 
 
+def test_near_copies_and_passages_share_chunks(spark, tmp_path):
+    """With the sizes as they are: a near copy adds little, and so does a passage within other texts."""
+    rnd = random.Random(8)
+    words = "the of river stone paper light under market winter seven garden letter music north bread window story".split()
+    some = lambda n: [rnd.choice(words) + rnd.choice(["", "s", "ed", ","]) for _ in range(n)]
+    base, passage = some(600), some(300)
+    near = [" ".join([*base[:k], "edit", *base[k + 1 :]]) for k in (100, 300, 500)]
+    held = [" ".join(some(60) + passage + some(60)) for _ in range(4)]
+    for name, texts in (("near", near), ("held", held)):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        K.write(df, public_tokenizers.path(BYTE_VOCABULARY), at := f"file://{tmp_path}/{name}")
+        chunks, recipes, _ = K.tables(spark, at)
+        assert chunks.selectExpr("sum(length(ids))").first()[0] < 0.7 * recipes.selectExpr("sum(2 * n)").first()[0], name
+
+
 def test_a_damaged_store_is_an_error(spark, docs, tmp_path):
     _, df = docs
     K.write(df.limit(20), public_tokenizers.path(BYTE_VOCABULARY), at := f"file://{tmp_path}/a")
