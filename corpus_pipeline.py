@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import mixing, packing, quality, secret_scan
-from graphloom.llm.common import fresh_dir, small, stored, table
+from graphloom.llm.common import fresh_dir, small, stored, table, text_key
 from graphloom.llm.jaccard_join import jaccard_classes
 
 VOCABULARY = "word_bpe_49k.json"
 
 
 def _having(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Rows of docs whose doc_id, null included, is in ids."""
-    ids = stored(ids.select(F.col("doc_id").alias("_id")).distinct(), name)
-    return docs.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Rows of docs whose doc_id is in ids(doc_id, text_key); those without doc_id go by their own text."""
+    ids = stored(ids.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")).distinct(), name)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & text_key(F.col("doc_id"), F.col("text")).eqNullSafe(F.col("_text_key"))
+    return docs.join(small(ids), same, "left_semi")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents with like shingles, the one with the least doc_id."""
-    classes = stored(jaccard_classes(docs), "classes")
+    classes = stored(jaccard_classes(docs, keyed=True), "classes")
     one = classes.where("component_id is null or doc_id = component_id")
     left = _having(docs, one, "first")
     often = stored(one.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_often")), "often")

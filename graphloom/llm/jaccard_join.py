@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import small, stored, text_key
 from .components import components
 from .shingles import SHINGLE, mix, shingle_sets
 
@@ -77,6 +77,7 @@ def _describe(cells: int, shingle: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, some = np.zeros(cells, np.uint8), False
+        names = ["doc_id", "n_shingles", "hi", "lo", "chunk", "counts", "text_key"]
         for batch in batches:
             n, hi, lo = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             for row, u in shingle_sets(batch.column(1), shingle):
@@ -86,12 +87,12 @@ def _describe(cells: int, shingle: int):
                     at = _cells(u, cells)
                     counts[at] += counts[at] < 255
                     some = True
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), batch.column(2)], names=names)
         if some:
             parts = counts.reshape(-1, min(CHUNK, cells))
             used = [k for k in range(len(parts)) if parts[k].any()]
             none = [None] * len(used)
-            yield pa.RecordBatch.from_arrays([*(pa.array(none, pa.int64()) for _ in range(4)), pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())], names=["doc_id", "n_shingles", "hi", "lo", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(none, pa.int64()) for _ in range(4)), pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary()), pa.nulls(len(used), pa.string())], names=names)
 
     return run
 
@@ -246,23 +247,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int, na
     return stored(dealt.mapInArrow(_against_centre(percent), "a long, b long"), f"{name}-links")
 
 
-def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, list_rows: int = LIST_ROWS) -> DataFrame:
+def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, list_rows: int = LIST_ROWS, keyed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs(doc_id, text, ...).
 
     Two texts link when 100 * common shingles >= percent * shingles of either. component_id is the least doc_id
     reachable by links, the row's own included. A null or empty text, and one without words, has no shingle and is
     its own component; fewer words than a shingle are one whole shingle. Rows that share a doc_id count as one
     document with the links of all of them; a row without doc_id keeps a null component unless a text equal to its
-    own has one. Other columns are not read. An empty table gives an empty result.
+    own has one. With keyed, a column text_key tells such rows apart. Other columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("text_key", text_key(F.col("doc_id"), F.col("text")))
     cells = LEAST_CELLS
     rows = docs.count()
     while cells < min(MOST_CELLS, CELLS_A_ROW * rows):
         cells *= 2
 
-    described = stored(texts.mapInArrow(_describe(cells, shingle), "doc_id long, n_shingles long, hi long, lo long, chunk int, counts binary"), "described")
+    described = stored(texts.mapInArrow(_describe(cells, shingle), "doc_id long, n_shingles long, hi long, lo long, chunk int, counts binary, text_key string"), "described")
     merged = described.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_add_up, "chunk int, counts binary")
     counts = np.zeros(cells, np.uint16)
     for chunk, part in merged.toLocalIterator():
@@ -270,7 +272,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
         counts[chunk * len(x) : (chunk + 1) * len(x)] = x
     sketch = spark.sparkContext.broadcast(counts)
 
-    of = described.where("chunk is null").select("doc_id", "n_shingles", "hi", "lo")
+    of = described.where("chunk is null").select("doc_id", "n_shingles", "hi", "lo", "text_key")
     classes = stored(of.where("n_shingles > 0").groupBy("n_shingles", "hi", "lo").agg(F.min("doc_id").alias("least")), "classes")
     sizes = {r[0]: r[1] for r in classes.where(F.col("n_shingles") < LARGEST_SMALL).groupBy("n_shingles").count().collect()}
     boundary = choose_boundary(sizes, percent)
@@ -335,4 +337,4 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     named = classes.join(known, F.col("least") == F.col("node"), "left").select(F.col("n_shingles").alias("n"), F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("component", "least").alias("component_id"))
     same = (F.col("n_shingles") == F.col("n")) & (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l"))
     result = of.join(named, same, "left")
-    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *(["text_key"] if keyed else []))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import small, stored, text_key
 from .shingles import mix, text_slices, word_hashes, words
 
 BUCKETS = 1 << 16
@@ -130,13 +130,13 @@ def _score(model, buckets: int):
                 n = np.diff(first)
                 score[lo:hi] = (run_sum[first[1:]] - run_sum[first[:-1]]) / np.maximum(1, 2 * n - 1)
             at = np.rint(np.clip(score, -LIMIT, LIMIT) / STEP).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols), pa.array(at), *(batch.column(k) for k in (2, 3))], names=["doc_id", *_STATS, "steps", "trusted", "labelled"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols), pa.array(at), *(batch.column(k) for k in (2, 3, 4))], names=["doc_id", *_STATS, "steps", "trusted", "labelled", "text_key"])
 
     return run
 
 
 def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trusted: float = KEEP_TRUSTED) -> DataFrame:
-    """One row for each of docs: doc_id, the counts, base_failed, score, threshold and kept.
+    """One row for each of docs: doc_id, the counts, base_failed, score, threshold, kept and, where doc_id is null, the text_key.
 
     Trusted texts are those with quality 1 in labels(doc_id, quality); the others with a label count against a
     threshold only. The threshold parts the two best (by the sum of the shares that it gets right, the lowest of
@@ -148,7 +148,7 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
     spark = docs.sparkSession
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_doc")).agg((F.max("quality") > 0).alias("trusted"))
     known = small(stored(marks, "labels"))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "trusted", F.col("trusted").isNotNull().alias("labelled"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "trusted", F.col("trusted").isNotNull().alias("labelled"), text_key(F.col("doc_id"), F.col("text")).alias("text_key"))
     parts = stored(texts.select("text", "trusted").mapInArrow(_count(buckets), "chunk int, raw binary, target binary"), "counts")
     counts = np.zeros((2, buckets), np.int64)
     for chunk, *both in parts.repartition("chunk").mapInArrow(_add_up, "chunk int, raw binary, target binary").toLocalIterator():
@@ -158,7 +158,7 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
     p = [(c + SMOOTHING) / (c.sum() + SMOOTHING * buckets) for c in counts]
     fitted = bool(counts[1].any())
     ratio = np.log(p[1]) - np.log(p[0]) if fitted else np.zeros(buckets)
-    scored = stored(texts.mapInArrow(_score(spark.sparkContext.broadcast(ratio), buckets), "doc_id long, " + ", ".join(f"{k} long" for k in _STATS) + ", steps int, trusted boolean, labelled boolean"), "scored")
+    scored = stored(texts.mapInArrow(_score(spark.sparkContext.broadcast(ratio), buckets), "doc_id long, " + ", ".join(f"{k} long" for k in _STATS) + ", steps int, trusted boolean, labelled boolean, text_key string"), "scored")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     scored = scored.withColumn("base_failed", failed)
     least = None
@@ -167,7 +167,7 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
         least = threshold([(r["steps"], r["good"], r["all"] - r["good"]) for r in seen], keep_trusted)
     kept = ~F.col("base_failed") & (F.col("steps") >= F.lit(least) if least is not None else F.lit(True))
     scale = lambda x: x / F.lit(round(1 / STEP))
-    return scored.select("doc_id", *_STATS, "base_failed", scale(F.col("steps")).alias("score"), scale(F.lit(least).cast("int")).alias("threshold"), kept.alias("kept"))
+    return scored.select("doc_id", *_STATS, "base_failed", scale(F.col("steps")).alias("score"), scale(F.lit(least).cast("int")).alias("threshold"), kept.alias("kept"), "text_key")
 
 
 def threshold(seen: list[tuple[int, int, int]], keep_trusted: float) -> int | None:

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -66,6 +67,18 @@ def test_stages(spark, folder):
     assert sorted((r["doc_id"], r["piece"], r["length"], r["ids_crc32"]) for r in packed) == sorted(want)
 
 
+def test_rows_without_id_go_by_their_own_text(spark, folder):
+    """One that the rules keep and one that they reject; then one that equals a text with an id and one that doesn't."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = C.quality_rules(spark, docs, folder)
+    first, second = (r["text"] for r in kept.where("doc_id is not null").orderBy("doc_id").limit(2).collect())
+    own = lambda *texts: spark.createDataFrame([(None, t, "en", "s", 1) for t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(own(first, "tiny", None, ""))
+    assert [r["text"] for r in C.quality_rules(spark, both, folder).where("doc_id is null").collect()] == [first]
+    some = own(first, second).unionByName(kept.where(F.col("text") == first).select("doc_id", "text", "lang", "source", "n_chars"))
+    assert [r["text"] for r in C.ngram_jaccard_join(spark, some, folder).where("doc_id is null").collect()] == [second]
+
+
 def test_run_applies_the_stages(spark, folder):
     assert [k for k, _ in C.STAGES] == ["quality_rules", "ngram_jaccard_join", "secret_scans", "source_mixing", "best_fit_packing"]
     assert C.run(spark, folder).count() > 0
