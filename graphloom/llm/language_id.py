@@ -18,12 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, stored
 from .shingles import mix, text_slices
 
 SIZE = 1 << 11
-#: Rows to learn from, of all languages together and of one; the most frequent languages that are learned.
-SAMPLE_ROWS, LANGUAGE_ROWS, LANGUAGES = 8_000, 1_200, 200
+#: Rows to learn from, of all languages together and of one; about so many of each language however many there are.
+SAMPLE_ROWS, LANGUAGE_ROWS, LEAST_ROWS = 8_000, 1_200, 20
 SLICE_ROWS = 400
 EPOCHS, PENALTY = 12, 4.0
 UNKNOWN = "und"
@@ -164,25 +164,26 @@ def held_out(doc_id, folds: int = 5):
     return F.coalesce(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0, F.lit(True))
 
 
-def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, language_rows: int = LANGUAGE_ROWS, languages: int = LANGUAGES) -> DataFrame:
+def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, language_rows: int = LANGUAGE_ROWS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): one row for each of docs(doc_id, text, lang).
 
-    Rows that aren't held out and have a lang, and a letter in their text, may be learned from: of each of the most
-    frequent `languages`, about `language_rows` or fewer, `sample_rows` together, chosen by a hash of the doc_id. A
+    Rows that aren't held out and have a lang, and a letter in their text, may be learned from: of each
+    language about `language_rows` or fewer, `sample_rows` together, chosen by a hash of the doc_id; where there are
+    many languages, each one still has about LEAST_ROWS, or all that it has. Duels grow with the square of the
+    languages of a family, and of the families. A
     text that is null or has no letter is `und` with score 0; without anything to learn from, each one is. A null
     doc_id counts as the empty text. Ties of votes go by margins. Equal texts get equal answers.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang", held_out(F.col("doc_id")).alias("held_out"))
     usable = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = stored(usable.groupBy(F.col("lang").alias("_lang")).count(), "languages")
     model = None
-    if counts:
-        each = max(1, min(language_rows, sample_rows // len(counts)))
-        share = F.lit(0)
-        for r in counts:
-            share = F.when(F.col("lang") == r["lang"], F.lit(int(min(1.0, each / r["count"]) * 2**30))).otherwise(share)
-        chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < share).select("lang", "text").mapInArrow(_features, "lang string, v binary")
+    if many := counts.count():
+        each = max(LEAST_ROWS, min(language_rows, sample_rows // many))
+        shares = counts.select("_lang", (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * 2**30).cast("long").alias("_share"))
+        chosen = usable.join(small(shares, many), F.col("lang") == F.col("_lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < F.col("_share"))
+        chosen = chosen.select("lang", "text").mapInArrow(_features, "lang string, v binary")
         sample = stored(chosen, "sample").toLocalIterator()
         langs, x = [], []
         for r in sample:

@@ -37,3 +37,13 @@ def test_families_and_duels():
     x = np.vstack([rng.normal(c, 0.3, (40, 5)) for c in (-1, 1)]).astype(np.float32)
     w = L.svm(x, np.repeat([-1.0, 1.0], 40))
     assert ((x @ w[:-1] + w[-1] > 0) == np.repeat([False, True], 40)).all()
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number would do for; each has a word of its own."""
+    codes = [f"{c}-{k}" for c in ("de", "fr", "pl", "hi", "tr", "fi", "ar") for k in range(30)]
+    letters = "bcdfghjklmnpqrstvwxz"
+    word = lambda k: "".join(letters[(k // 20**n + 7 * n * k) % 20] for n in range(4))
+    rows = [(k * 10 + n, " ".join([word(k)] * 12), lang) for k, lang in enumerate(codes) for n in range(10)]
+    got = L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()
+    assert len(got) == len(rows) and {r["lang_pred"] for r in got} == set(codes)
