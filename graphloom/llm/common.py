@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ NOT_WORD = r"[\x20\x09-\x0D]+"
 
 #: Rows up to which a side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
+#: Rows and bytes of a batch that goes to a Python task.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +39,24 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/graphloom-{uuid.uuid4().hex}/{name}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark hands texts to Python tasks in batches of a few MB, whatever the session's own limits."""
+    before = {k: spark.conf.get(k) for k in BATCHES}
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage ends there and survives lost executors."""
     at = fresh_dir(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(at)
+    with small_batches(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 

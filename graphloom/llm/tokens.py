@@ -2,13 +2,18 @@
 
 Both vocabularies used here split a text into pieces before they merge, and no merge crosses a piece. Cutting a
 text before single blanks and line feeds, and between a letter and a punctuation mark, cuts only between pieces,
-so the ids of a text are those of its cuts in a row, and each distinct cut of a batch is encoded once. Where a
-blank belongs to the next piece, texts with other white space are encoded whole.
+so the ids of a text are those of its cuts in a row, and each distinct cut of a batch is encoded once. Letters that
+the vocabulary's normalizer turns into something else than one letter end no cut. Where a blank belongs to the next
+piece, texts with other white space are encoded whole; so are texts that hold a special token's string, which the
+library turns into that token.
+
+New cuts are encoded many at a time, with a separator between them that is a piece of its own.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -22,29 +27,70 @@ CACHE_CUTS = 800_000
 #: Bytes of a longest cut that is kept.
 LONGEST_KEPT = 64
 SLICE_BYTES = 8 << 20
-LETTER_AND_MARK = r"(\p{L})([!-/:-@\[-`{-~])"
+#: Cuts encoded as one string.
+JOINED = 1_000
+MARK = r"([!-/:-@\[-`{-~])"
 #: White space other than blank and line feed, and the mark below.
 ODD_SPACE = r"[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def _is_letter(x: str) -> bool:
+    return len(x) == 1 and unicodedata.category(x)[0] == "L"
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        a, b = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("a", " a"))
+        a, b, one = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in ("a", " a", "\x01"))
         self.blank_in_piece = a != b
+        self.separator = "\n" if self.blank_in_piece else " \x01 "
+        self.separator_id = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] if self.blank_in_piece else one[0]
+        self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letter_and_mark = f"([^\\P{{L}}{self._unlike_letters()}]){MARK}"
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _unlike_letters(self) -> str:
+        """The letters that the normalizer doesn't turn into one letter, for a class of a pattern."""
+        if self.tokenizer.normalizer is None:
+            return ""
+        letters = [chr(k) for k in range(0x110000) if _is_letter(chr(k))]
+        turned = self.tokenizer.normalizer.normalize_str(" ".join(letters)).split(" ")
+        return "".join(f"\\x{{{ord(x):x}}}" for x, y in zip(letters, turned, strict=True) if not _is_letter(y))
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for k in range(0, len(texts), 500):
             out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[k : k + 500], add_special_tokens=False)]
         return out
 
+    def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
+        """Ids of each cut. What could touch a separator, or is one, is encoded alone."""
+        mark = self.separator.strip(" ")
+        alone = [k for k, x in enumerate(cuts) if not x.strip() or mark in x]
+        out: list[bytes] = [b""] * len(cuts)
+        for k, x in zip(alone, self._encode([cuts[k] for k in alone]), strict=True):
+            out[k] = x
+        skip = set(alone)
+        rest = [k for k in range(len(cuts)) if k not in skip] if skip else range(len(cuts))
+        for lo in range(0, len(rest), 20 * JOINED):
+            groups = [rest[a : a + JOINED] for a in range(lo, min(len(rest), lo + 20 * JOINED), JOINED)]
+            coded = self.tokenizer.encode_batch_fast([self.separator.join([cuts[k] for k in g]) for g in groups], add_special_tokens=False)
+            for g, x in zip(groups, coded, strict=True):
+                ids = np.array(x.ids, "<u4")
+                at = np.flatnonzero(ids == self.separator_id)
+                if len(at) != len(g) - 1:
+                    own = self._encode([cuts[k] for k in g])
+                else:
+                    raw, ends = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                    own = [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)]
+                for k, y in zip(g, own, strict=True):
+                    out[k] = y
+        return out
+
     def _known(self, cuts: list[str]) -> list[bytes]:
         if len(self.kept) > CACHE_CUTS // 2:
             self.kept, self.old = {}, self.kept
@@ -52,7 +98,7 @@ class Encoder:
         new = [x for x in cuts if x not in kept]
         kept.update((x, old[x]) for x in new if x in old)
         new = [x for x in new if x not in old]
-        kept.update(zip(new, self._encode(new), strict=True))
+        kept.update(zip(new, self._encode_cuts(new), strict=True))
         known = list(map(kept.__getitem__, cuts))
         for x in {x for x in new if len(x) > LONGEST_KEPT}:
             del kept[x]
@@ -74,30 +120,33 @@ class Encoder:
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.blank_in_piece:
-            spaced = pc.replace_substring(pc.replace_substring_regex(texts, LETTER_AND_MARK, "\\1 \x00\\2"), "\n", " \n")
+            spaced = pc.replace_substring(pc.replace_substring_regex(texts, self.letter_and_mark, "\\1 \x00\\2"), "\n", " \n")
         else:
-            spaced = pc.replace_substring(pc.replace_substring_regex(pc.ascii_lower(texts), LETTER_AND_MARK, "\\1 \\2"), "\n", " ")
+            spaced = pc.replace_substring(pc.replace_substring_regex(pc.ascii_lower(texts), self.letter_and_mark, "\\1 \\2"), "\n", " ")
+        bad = np.zeros(len(texts), bool)
+        for x in self.specials:
+            bad |= np.asarray(pc.match_substring(texts, x))
         lists = pc.split_pattern(spaced, " ")
         at = np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
-        cuts = lists.flatten()
-        coded = cuts.dictionary_encode()
-        codes, vocabulary = np.asarray(coded.indices, np.int64), coded.dictionary.to_pylist()
-        whole: dict[int, bytes] = {}
+        coded = lists.flatten().dictionary_encode()
+        codes, vocabulary = np.asarray(coded.indices, np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.blank_in_piece:
             odd = np.fromiter((x == "" or x == "\n" for x in vocabulary), bool, len(vocabulary))
-            bad = np.add.reduceat(odd[codes], at[:-1]) > 0
+            bad |= np.add.reduceat(odd[codes], at[:-1]) > 0
             bad |= np.asarray(pc.match_substring_regex(texts, ODD_SPACE))
-            rows = np.flatnonzero(bad)
-            whole = dict(zip(rows.tolist(), self._encode(texts.take(pa.array(rows)).to_pylist()), strict=True))
-            firsts = [vocabulary[c] for c in codes[at[:-1]]]
+            firsts = [vocabulary[c] for c in codes[at[:-1]].tolist()]
             codes[at[:-1]] = len(vocabulary) + np.arange(len(firsts))
             vocabulary = [x[1:] if x[:1] == "\x00" else x if x[:1] == "\n" or not x else " " + x for x in vocabulary] + firsts
         known = self._known(vocabulary)
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        ids = np.frombuffer(b"".join(map(known.__getitem__, codes.tolist())), "<u4")
-        to = np.cumsum(size[codes])
+        flat, begin = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+        each = size[codes]
+        to = np.cumsum(each)
+        ids = flat[np.arange(int(to[-1]) if len(to) else 0) + np.repeat(begin[codes] - to + each, each)]
         bounds = np.concatenate([[0], to])[at]
-        if whole:
+        rows = np.flatnonzero(bad)
+        if len(rows):
+            whole = dict(zip(rows.tolist(), self._encode(texts.take(pa.array(rows)).to_numpy(zero_copy_only=False).tolist()), strict=True))
             parts = [np.frombuffer(whole[k], "<u4") if k in whole else ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
             ids, bounds = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
         return ids, bounds
