@@ -64,13 +64,3 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if it has few rows by count; else as it is, and the join shuffles."""
     rows = df.count() if rows is None else rows
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def text_key(doc_id, text) -> F.Column:
-    """What tells rows without doc_id apart: a hash of the text, null where there is an id."""
-    return F.when(doc_id.isNull(), F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
-
-
-def words_of(text) -> F.Column:
-    """The words of a text as an array; null texts have none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), NOT_WORD, -1), lambda w: w != "")

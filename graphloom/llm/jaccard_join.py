@@ -13,8 +13,9 @@ The sets are distinct word shingles of whole texts. Equal sets collapse into one
 * The boundary is where listing subsets begins to cost more than scanning, by the sets' own sizes.
 
 The order of shingles is by a count sketch over the corpus whose size is bounded, so a frequent passage is last in
-it. Lists beyond LIST_ROWS are dealt over salted parts, each time by another hash, in all but the last scan, which
-joins the sides by key and leaves splitting to Spark.
+it. Lists that the sketch says are beyond LIST_ROWS are dealt over up to 255 salted parts in all but the last scan,
+which joins the sides by key and leaves splitting to Spark. What a set needs to know of a subset is one aggregate
+row a task, joined back.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored, text_key
+from .common import small, stored
 from .components import components
 from .shingles import SHINGLE, mix, shingle_sets
 
-#: Sketch cells are a power of two between these: 2 bytes a cell, so 64 MB at most are broadcast.
+#: Sketch cells are a power of two between these: 2 bytes a cell, so 64 MB at most are broadcast. A task counts up to
+#: 65,535 in a cell; the sums are kept as the upper half of a float, which has the order of the counts to 1 in 128.
 LEAST_CELLS, MOST_CELLS, CELLS_A_ROW = 1 << 16, 1 << 25, 32
 CHUNK = 1 << 15
 #: A list that the sketch says is longer is dealt over parts.
@@ -42,7 +44,7 @@ LARGEST_SMALL = 16
 #: Rows of subsets that verifying one candidate costs.
 SCAN_COST = 24
 #: Sets checked against one copy of a centre.
-PER_CENTRE = 2_000
+PER_CENTRE = 64
 
 
 def needed(n: int, m: int, percent: int) -> int:
@@ -76,8 +78,8 @@ def _describe(cells: int, shingle: int):
     """Each row's set size and 128-bit fingerprint, and the task's share of the count sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, some = np.zeros(cells, np.uint8), False
-        names = ["doc_id", "n_shingles", "hi", "lo", "chunk", "counts", "text_key"]
+        counts, some = np.zeros(cells, np.uint16), False
+        names = ["doc_id", "n_shingles", "hi", "lo", "chunk", "counts"]
         for batch in batches:
             n, hi, lo = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             for row, u in shingle_sets(batch.column(1), shingle):
@@ -85,14 +87,14 @@ def _describe(cells: int, shingle: int):
                 if len(u):
                     hi[row], lo[row] = (np.add.reduce(mix(u, k)).view(np.int64) for k in (11, 12))
                     at = _cells(u, cells)
-                    counts[at] += counts[at] < 255
+                    counts[at] += counts[at] < 65535
                     some = True
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary()), batch.column(2)], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hi), pa.array(lo), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=names)
         if some:
             parts = counts.reshape(-1, min(CHUNK, cells))
             used = [k for k in range(len(parts)) if parts[k].any()]
             none = [None] * len(used)
-            yield pa.RecordBatch.from_arrays([*(pa.array(none, pa.int64()) for _ in range(4)), pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary()), pa.nulls(len(used), pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.array(none, pa.int64()) for _ in range(4)), pa.array(used, pa.int32()), pa.array([parts[k].tobytes() for k in used], pa.binary())], names=names)
 
     return run
 
@@ -102,9 +104,18 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(counts, np.uint8).astype(np.uint32)
+            x = np.frombuffer(counts, np.uint16).astype(np.uint64)
             total[chunk] = total[chunk] + x if chunk in total else x
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(x, 65535).astype("<u2").tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([short(x).tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
+
+
+def short(counts: np.ndarray) -> np.ndarray:
+    """The upper halves of counts as floats of 4 bytes: in the order of the counts, and never above them."""
+    return (counts.astype(np.float32).view(np.uint32) >> np.uint32(16)).astype("<u2")
+
+
+def long(codes: np.ndarray) -> np.ndarray:
+    return (codes.astype(np.uint32) << np.uint32(16)).view(np.float32).astype(np.uint64)
 
 
 def _parity(u: np.ndarray) -> bytes:
@@ -113,8 +124,11 @@ def _parity(u: np.ndarray) -> bytes:
     return np.packbits(np.bincount((u >> np.uint64(3)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+SUBSET, RARE, BITS = range(3)
+
+
 def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, list_rows: int):
-    """Rows by kind: s, a subset (size c in place); l, a rare shingle of the set (its place in the order); b, the bitmap."""
+    """Rows by kind: SUBSET (size c in place); RARE, a rare shingle of the set (its place in the order); BITS, the bitmap."""
     lists_from = -(-percent * boundary // 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +139,7 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
             bits_of, bits = [], []
 
             def put(kind: int, key: np.ndarray, row: int, n: int, place: np.ndarray) -> None:
-                out["kind"].append(np.full(len(key), kind, np.int8))
+                out["kind"].append(np.full(len(key), kind, np.int32))
                 out["key"].append(key)
                 out["doc"].append(np.full(len(key), ids[row], np.int64))
                 out["n"].append(np.full(len(key), n, np.int32))
@@ -133,9 +147,9 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
 
             def flush():
                 k = {x: np.concatenate(y) if y else np.zeros(0, np.int64) for x, y in out.items()}
-                kinds = np.array(["s", "l"], object)[k["kind"].astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(k["key"].astype(np.uint64).view(np.int64)), pa.array(k["doc"].astype(np.int64)), pa.array(k["n"].astype(np.int32)), pa.array(k["place"].astype(np.int32)), pa.nulls(len(kinds), pa.binary())], names=names)
-                yield pa.RecordBatch.from_arrays([pa.array(["b"] * len(bits), pa.string()), pa.nulls(len(bits), pa.int64()), pa.array(bits_of, pa.int64()), pa.nulls(len(bits), pa.int32()), pa.nulls(len(bits), pa.int32()), pa.array(bits, pa.binary())], names=names)
+                kinds = k["kind"].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(k["key"].astype(np.uint64).view(np.int64)), pa.array(k["doc"].astype(np.int64)), pa.array(k["n"].astype(np.int32)), pa.array(k["place"].astype(np.int32)), pa.nulls(len(kinds), pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([BITS] * len(bits), pa.int32()), pa.nulls(len(bits), pa.int64()), pa.array(bits_of, pa.int64()), pa.nulls(len(bits), pa.int32()), pa.nulls(len(bits), pa.int32()), pa.array(bits, pa.binary())], names=names)
                 for x in (*out.values(), bits_of, bits):
                     x.clear()
 
@@ -148,15 +162,14 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
                 if n < boundary:
                     for c in subset_sizes(n, percent, boundary):
                         key = np.add.reduce(mix(u[np.array(list(combinations(range(n), c)))], 21), axis=1)
-                        put(0, mix(key, 22 + c), row, n, np.full(len(key), c))
+                        put(SUBSET, mix(key, 22 + c), row, n, np.full(len(key), c))
                 if n >= lists_from:
-                    common = counts[_cells(u, cells)].astype(np.uint64)
-                    order = (common << np.uint64(48)) | (u >> np.uint64(16))
+                    order = (counts[_cells(u, cells)].astype(np.uint64) << np.uint64(48)) | (u >> np.uint64(16))
                     p = min(prefix(n, percent), n)
                     first = np.sort(np.partition(order, p - 1)[:p])
-                    parts = np.minimum((first >> np.uint64(48)) // np.uint64(list_rows) + np.uint64(1), np.uint64(255))
+                    parts = np.minimum(long(first >> np.uint64(48)) // np.uint64(list_rows) + np.uint64(1), np.uint64(255))
                     part = np.where(parts > 1, mix(first ^ np.uint64(ids[row] & (2**63 - 1))) % parts + np.uint64(1), np.uint64(0))
-                    put(1, (first << np.uint64(8)) | part, row, n, np.arange(p))
+                    put(RARE, (first << np.uint64(8)) | part, row, n, np.arange(p))
                     bits_of.append(int(ids[row]))
                     bits.append(_parity(u))
                     held += p
@@ -171,7 +184,7 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
 def _unlike(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Bits in which the bitmaps of a and b differ, the longer one folded to the shorter: no more than their sets do."""
     out = np.zeros(len(a), np.int64)
-    for k, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
+    for k, (x, y) in enumerate(zip(*(x.to_numpy(zero_copy_only=False).tolist() for x in (a, b)), strict=True)):
         x, y = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
         out[k] = np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum()
     return out
@@ -210,7 +223,7 @@ def _against_centre(percent: int):
         at, own = None, np.zeros(0, np.uint64)
         for batch in batches:
             a, b = [], []
-            docs, centres, parts, members = (batch.column(k).to_pylist() for k in range(4))
+            docs, centres, parts, members = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(4))
             for doc, centre, part, raw in zip(docs, centres, parts, members, strict=True):
                 u = np.frombuffer(raw, np.uint64)
                 if (centre, part) != at:
@@ -247,24 +260,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int, na
     return stored(dealt.mapInArrow(_against_centre(percent), "a long, b long"), f"{name}-links")
 
 
-def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, list_rows: int = LIST_ROWS, keyed: bool = False) -> DataFrame:
+def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, list_rows: int = LIST_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs(doc_id, text, ...).
 
     Two texts link when 100 * common shingles >= percent * shingles of either. component_id is the least doc_id
     reachable by links, the row's own included. A null or empty text, and one without words, has no shingle and is
     its own component; fewer words than a shingle are one whole shingle. Rows that share a doc_id count as one
     document with the links of all of them; a row without doc_id keeps a null component unless a text equal to its
-    own has one. With keyed, a column text_key tells such rows apart. Other columns are not read. An empty table gives an empty result.
+    own has one. Other columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("text_key", text_key(F.col("doc_id"), F.col("text")))
     cells = LEAST_CELLS
     rows = docs.count()
     while cells < min(MOST_CELLS, CELLS_A_ROW * rows):
         cells *= 2
 
-    described = stored(texts.mapInArrow(_describe(cells, shingle), "doc_id long, n_shingles long, hi long, lo long, chunk int, counts binary, text_key string"), "described")
+    described = stored(texts.mapInArrow(_describe(cells, shingle), "doc_id long, n_shingles long, hi long, lo long, chunk int, counts binary"), "described")
     merged = described.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(_add_up, "chunk int, counts binary")
     counts = np.zeros(cells, np.uint16)
     for chunk, part in merged.toLocalIterator():
@@ -272,7 +284,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
         counts[chunk * len(x) : (chunk + 1) * len(x)] = x
     sketch = spark.sparkContext.broadcast(counts)
 
-    of = described.where("chunk is null").select("doc_id", "n_shingles", "hi", "lo", "text_key")
+    of = described.where("chunk is null").select("doc_id", "n_shingles", "hi", "lo")
     classes = stored(of.where("n_shingles > 0").groupBy("n_shingles", "hi", "lo").agg(F.min("doc_id").alias("least")), "classes")
     sizes = {r[0]: r[1] for r in classes.where(F.col("n_shingles") < LARGEST_SMALL).groupBy("n_shingles").count().collect()}
     boundary = choose_boundary(sizes, percent)
@@ -281,16 +293,18 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     others = of.select("doc_id").distinct().join(kept, F.col("doc_id") == F.col("rep"), "left_anti").select(F.col("doc_id").alias("copy"))
     others = stored(others, "copies")
     alone = texts.where("doc_id is not null").join(small(others), F.col("doc_id") == F.col("copy"), "left_anti")
-    signed = stored(alone.mapInArrow(_signatures(sketch, cells, percent, boundary, shingle, list_rows), "kind string, key long, doc long, n int, place int, bits binary"), "signed", "kind")
-    by_subset, lists, bitmaps = (signed.where(F.col("kind") == k).drop("kind") for k in "slb")
+    signed = stored(alone.mapInArrow(_signatures(sketch, cells, percent, boundary, shingle, list_rows), "kind int, key long, doc long, n int, place int, bits binary"), "signed", "kind")
+    sketch.destroy()
+    by_subset, lists, bitmaps = (signed.where(F.col("kind") == k).drop("kind") for k in (SUBSET, RARE, BITS))
 
     # Small sets: the smallest set of a subset links with each other one for which the subset is large enough.
-    w = Window.partitionBy("key")
-    near = by_subset.withColumn("least", F.min(F.struct("n", "doc")).over(w))
+    least = by_subset.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("n", "doc")).alias("least"), F.max("doc").alias("most")).where(F.col("least.doc") != F.col("most"))
+    near = by_subset.join(least, F.col("key") == F.col("k"))
     small_links = near.where((F.col("doc") != F.col("least.doc")) & ((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("least.n")))).select(F.col("doc").alias("a"), F.col("least.doc").alias("b"))
 
     # Inverted lists of two sets and more, with the one of the least place as centre. A set that is alone in its part of
     # a dealt list, where the part isn't 0, stays for the last scan, which finds the list's other parts.
+    w = Window.partitionBy("key")
     scanned = lists.withColumn("centre", F.min(F.struct("place", "n", "doc")).over(w)).withColumn("others", F.max("doc").over(w) != F.min("doc").over(w)).where(F.col("others") | (F.col("key").bitwiseAND(F.lit(255)) > 0))
     scanned = stored(scanned.select(F.col("key").bitwiseAND(F.lit(~255)).alias("key"), "doc", "n", "place", F.col("centre.doc").alias("centre"), F.col("centre.n").alias("m"), F.col("centre.place").alias("centre_place")), "lists")
 
@@ -328,6 +342,8 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     mixed = named.groupBy(F.col("key").alias("k")).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("k")
     left = stored(named.join(mixed, F.col("key") == F.col("k"), "left_semi"), "left")
     right = left.select(F.col("key").alias("k"), F.col("doc").alias("d"), F.col("n").alias("m"), F.col("place").alias("q"), F.col("label").alias("other"))
+    # the smaller set of a pair must have room for an overlap with one of its own size
+    right = right.where((100 + percent) * (F.col("m") - F.col("q")) >= 2 * percent * F.col("m"))
     cross = left.join(right, (F.col("key") == F.col("k")) & (F.col("label") != F.col("other")) & (F.struct("n", "doc") > F.struct("m", "d")))
     cross = cross.where(fits(F.col("n"), F.col("m"), F.col("place"), F.col("q"))).select(F.col("doc").alias("a"), F.col("d").alias("b"), "n", "m").distinct()
     cross = cross.join(star.select("a", "b"), ["a", "b"], "left_anti")
@@ -337,4 +353,4 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     named = classes.join(known, F.col("least") == F.col("node"), "left").select(F.col("n_shingles").alias("n"), F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("component", "least").alias("component_id"))
     same = (F.col("n_shingles") == F.col("n")) & (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l"))
     result = of.join(named, same, "left")
-    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *(["text_key"] if keyed else []))
+    return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

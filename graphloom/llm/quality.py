@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored, text_key
+from .common import small, stored
 from .shingles import mix, text_slices, word_hashes, words
 
 BUCKETS = 1 << 16
@@ -114,42 +114,53 @@ def _stats(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.n
     return [n, chars, per_row(_symbols[data], offsets), dup, per_row(covered, first)]
 
 
-def _score(model, buckets: int):
+def _measured(column: pa.Array, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of _STATS, a row each, and the scores in steps."""
+    cols, score = np.zeros((len(_STATS), len(column)), np.int64), np.zeros(len(column))
+    for lo, hi, data, offsets in text_slices(column):
+        starts, ends, first = words(data, offsets)
+        h = word_hashes(data, starts, ends, lower=False)
+        cols[:, lo:hi] = _stats(data, offsets, starts, ends, first, h)
+        one, two = _grams(h, first, len(ratio))
+        each = ratio[one] + np.where(two >= 0, ratio[two], 0)
+        run_sum = np.concatenate([[0], np.cumsum(each)])
+        n = np.diff(first)
+        score[lo:hi] = (run_sum[first[1:]] - run_sum[first[:-1]]) / np.maximum(1, 2 * n - 1)
+    return cols, np.rint(np.clip(score, -LIMIT, LIMIT) / STEP).astype(np.int32)
+
+
+def _failed(n_words, n_repeat_words):
+    """By the base rules; for columns and for arrays."""
+    return (n_words < LEAST_WORDS) | (100 * n_repeat_words > MOST_REPEATED * n_words)
+
+
+def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = model.value
         for batch in batches:
-            cols = np.zeros((len(_STATS), batch.num_rows), np.int64)
-            score = np.zeros(batch.num_rows)
-            for lo, hi, data, offsets in text_slices(batch.column(1)):
-                starts, ends, first = words(data, offsets)
-                h = word_hashes(data, starts, ends, lower=False)
-                cols[:, lo:hi] = _stats(data, offsets, starts, ends, first, h)
-                one, two = _grams(h, first, buckets)
-                each = ratio[one] + np.where(two >= 0, ratio[two], 0)
-                run_sum = np.concatenate([[0], np.cumsum(each)])
-                n = np.diff(first)
-                score[lo:hi] = (run_sum[first[1:]] - run_sum[first[:-1]]) / np.maximum(1, 2 * n - 1)
-            at = np.rint(np.clip(score, -LIMIT, LIMIT) / STEP).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols), pa.array(at), *(batch.column(k) for k in (2, 3, 4))], names=["doc_id", *_STATS, "steps", "trusted", "labelled", "text_key"])
+            cols, at = _measured(batch.column(1), model.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols), pa.array(at)], names=["doc_id", *_STATS, "steps"])
 
     return run
 
 
-def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trusted: float = KEEP_TRUSTED) -> DataFrame:
-    """One row for each of docs: doc_id, the counts, base_failed, score, threshold, kept and, where doc_id is null, the text_key.
+def _keep(model, least: int | None, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols, steps = _measured(batch.column(at).cast(pa.string()), model.value)
+            kept = ~_failed(cols[_STATS.index("n_words")], cols[_STATS.index("n_repeat_words")])
+            yield batch.filter(pa.array(kept & (steps >= least) if least is not None else kept))
 
-    Trusted texts are those with quality 1 in labels(doc_id, quality); the others with a label count against a
-    threshold only. The threshold parts the two best (by the sum of the shares that it gets right, the lowest of
-    equals) among those that keep the share keep_trusted of the trusted ones. Without trusted texts there is no
-    model and the base rules decide alone; without others, the threshold keeps that share. A null or empty text has
-    no word and fails the base rules. If a document has labels that differ, the best one counts; a null doc_id has
-    no label. Repeated rows are judged alike. Other columns are not read.
-    """
+    return run
+
+
+def _learned(docs: DataFrame, labels: DataFrame, buckets: int, keep_trusted: float) -> tuple:
+    """(the broadcast log ratio of each bucket, the scored documents, the threshold in steps or None)."""
     spark = docs.sparkSession
     marks = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_doc")).agg((F.max("quality") > 0).alias("trusted"))
-    known = small(stored(marks, "labels"))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(known, F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "trusted", F.col("trusted").isNotNull().alias("labelled"), text_key(F.col("doc_id"), F.col("text")).alias("text_key"))
-    parts = stored(texts.select("text", "trusted").mapInArrow(_count(buckets), "chunk int, raw binary, target binary"), "counts")
+    marks = stored(marks, "labels")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    trusted = texts.join(small(marks.where("trusted")), F.col("doc_id") == F.col("_doc"), "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    parts = stored(trusted.mapInArrow(_count(buckets), "chunk int, raw binary, target binary"), "counts")
     counts = np.zeros((2, buckets), np.int64)
     for chunk, *both in parts.repartition("chunk").mapInArrow(_add_up, "chunk int, raw binary, target binary").toLocalIterator():
         for k, x in enumerate(both):
@@ -157,17 +168,40 @@ def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trus
             counts[k, chunk * len(x) : (chunk + 1) * len(x)] = x
     p = [(c + SMOOTHING) / (c.sum() + SMOOTHING * buckets) for c in counts]
     fitted = bool(counts[1].any())
-    ratio = np.log(p[1]) - np.log(p[0]) if fitted else np.zeros(buckets)
-    scored = stored(texts.mapInArrow(_score(spark.sparkContext.broadcast(ratio), buckets), "doc_id long, " + ", ".join(f"{k} long" for k in _STATS) + ", steps int, trusted boolean, labelled boolean, text_key string"), "scored")
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    scored = scored.withColumn("base_failed", failed)
+    model = spark.sparkContext.broadcast(np.log(p[1]) - np.log(p[0]) if fitted else np.zeros(buckets))
+    scored = stored(texts.mapInArrow(_score(model), "doc_id long, " + ", ".join(f"{k} long" for k in _STATS) + ", steps int"), "scored")
     least = None
     if fitted:
-        seen = scored.where("labelled and not base_failed").groupBy("steps").agg(F.sum(F.col("trusted").cast("long")).alias("good"), F.count("*").alias("all")).orderBy("steps").collect()
+        # labels meet the scores, which are small, not the texts
+        sure = scored.where(~_failed(F.col("n_words"), F.col("n_repeat_words"))).select("doc_id", "steps").join(small(marks), F.col("doc_id") == F.col("_doc"))
+        seen = sure.groupBy("steps").agg(F.sum(F.col("trusted").cast("long")).alias("good"), F.count("*").alias("all")).orderBy("steps").collect()
         least = threshold([(r["steps"], r["good"], r["all"] - r["good"]) for r in seen], keep_trusted)
-    kept = ~F.col("base_failed") & (F.col("steps") >= F.lit(least) if least is not None else F.lit(True))
+    return model, scored, least
+
+
+def judged(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trusted: float = KEEP_TRUSTED) -> DataFrame:
+    """One row for each of docs: doc_id, the counts, base_failed, score, threshold and kept.
+
+    Trusted texts are those with quality 1 in labels(doc_id, quality); the others with a label count against a
+    threshold only. The threshold parts the two best (by the sum of the shares that it gets right, the lowest of
+    equals) among those that keep the share keep_trusted of the trusted ones. Without trusted texts there is no
+    model and the base rules decide alone; without others, the threshold keeps that share. A null or empty text has
+    no word and fails the base rules. If a document has labels that differ, the best one counts; a null doc_id has
+    no label. Repeated rows are judged alike. Other columns are not read.
+    """
+    model, scored, least = _learned(docs, labels, buckets, keep_trusted)
+    model.destroy()
+    failed = _failed(F.col("n_words"), F.col("n_repeat_words"))
+    kept = ~failed & (F.col("steps") >= F.lit(least) if least is not None else F.lit(True))
     scale = lambda x: x / F.lit(round(1 / STEP))
-    return scored.select("doc_id", *_STATS, "base_failed", scale(F.col("steps")).alias("score"), scale(F.lit(least).cast("int")).alias("threshold"), kept.alias("kept"), "text_key")
+    return scored.select("doc_id", *_STATS, failed.alias("base_failed"), scale(F.col("steps")).alias("score"), scale(F.lit(least).cast("int")).alias("threshold"), kept.alias("kept"))
+
+
+def passing(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, keep_trusted: float = KEEP_TRUSTED) -> DataFrame:
+    """The rows of docs, with all their columns, that judged keeps. Each row goes by its own text, whatever its doc_id;
+    scoring it again is cheaper than a join of texts with verdicts."""
+    model, _, least = _learned(docs, labels, buckets, keep_trusted)
+    return docs.mapInArrow(_keep(model, least, docs.columns.index("text")), docs.schema)
 
 
 def threshold(seen: list[tuple[int, int, int]], keep_trusted: float) -> int | None:
