@@ -1,8 +1,9 @@
 """A corpus pipeline of five operators, each stage written and read again.
 
 Each stage works on all rows that the one before it kept, and returns the columns of documents; the last returns the
-packed pieces. Rows that share a doc_id count as one document: they stay or go together, and after the second stage
-there is one row for each doc_id. A row without doc_id stays unless its text is rejected or equals one that has an id.
+packed pieces. Every row is a document of its own and goes by its own text, also where it has no doc_id or shares it
+with other rows. Of each group of documents with like shingles one row stays, the one with the least doc_id (without
+doc_id only if no other has one).
 """
 
 from __future__ import annotations
@@ -12,32 +13,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import mixing, packing, quality, secret_scan
-from graphloom.llm.common import fresh_dir, small, stored, table, text_key
+from graphloom.llm.common import fresh_dir, small, small_batches, stored, table
 from graphloom.llm.jaccard_join import jaccard_classes
 
 VOCABULARY = "word_bpe_49k.json"
 
 
-def _having(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Rows of docs whose doc_id is in ids(doc_id, text_key); those without doc_id go by their own text."""
-    ids = stored(ids.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")).distinct(), name)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & text_key(F.col("doc_id"), F.col("text")).eqNullSafe(F.col("_text_key"))
-    return docs.join(small(ids), same, "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a number of each row, `_row`: its doc_id, if all rows have one and no two the same; else one that is
+    stored with the rows, so that it is the same whenever a task runs again."""
+    if docs.count() == docs.where("doc_id is not null").select("doc_id").distinct().count():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _having(docs, quality.judged(docs, table(spark, sf_dir, "labels")).where("kept"), "kept")
+    return quality.passing(docs, table(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents with like shingles, the one with the least doc_id."""
-    classes = stored(jaccard_classes(docs, keyed=True), "classes")
-    one = classes.where("component_id is null or doc_id = component_id")
-    left = _having(docs, one, "first")
-    often = stored(one.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_often")), "often")
-    repeated = left.join(small(often), F.col("doc_id") == F.col("_often"), "left_semi").dropDuplicates(["doc_id"])
-    return left.join(small(often), F.col("doc_id") == F.col("_often"), "left_anti").unionByName(repeated)
+    rows = _keyed(docs)
+    classes = jaccard_classes(rows.select(F.col("_row").alias("doc_id"), "text"))
+    named = classes.join(rows.select("_row", F.col("doc_id").alias("_doc")), F.col("doc_id") == F.col("_row"))
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("_doc").isNull(), "_doc", "_row"))["_row"].alias("_first"))
+    first = stored(first.select("_first"), "first")
+    return rows.join(small(first), F.col("_row") == F.col("_first"), "left_semi").select(docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,6 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(at := fresh_dir(spark, name))
+        with small_batches(spark):
+            stage(spark, docs, sf_dir).write.parquet(at := fresh_dir(spark, name))
         docs = spark.read.parquet(at)
     return STAGES[-1][1](spark, docs, sf_dir)
