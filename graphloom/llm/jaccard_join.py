@@ -173,7 +173,7 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
                     bits_of.append(int(ids[row]))
                     bits.append(_parity(u))
                     held += p
-                if held > 200_000:
+                if held > 50_000:
                     yield from flush()
                     held = 0
             yield from flush()

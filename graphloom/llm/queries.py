@@ -183,17 +183,29 @@ with sized as (
 ), target as (
   select source, source_size, (case when stops then {most} * source_size else (select f.rest from stopped f where not f.stops order by f.source_size::double / f.weight, f.place limit 1) * weight
     / (select f.weight_left from stopped f where not f.stops order by f.source_size::double / f.weight, f.place limit 1) end)::double as target from stopped
+), sizes as (
+  select d.doc_id, d.source, d.size, length(bin(d.size)) as weight, t.source_size, t.target from sized d join target t on d.source is not distinct from t.source
+), classes as (
+  select source, weight, sum(size)::bigint as class_size, any_value(target) as target from sizes group by source, weight
+), part as (
+  select *, target - {most} * coalesce(sum(class_size) over (partition by source order by weight desc rows between unbounded preceding and 1 preceding), 0) as rest,
+    sum(weight * class_size) over (partition by source order by weight desc rows between current row and unbounded following) as weighed from classes
+), level as (
+  select *, rest * weight >= {most} * weighed as stops from part
+), plan as (
+  select l.source, l.weight, l.target, l.class_size,
+    case when stops then {most}::double else (select f.rest * l.weight / f.weighed from level f where f.source is not distinct from l.source and not f.stops order by f.weight desc limit 1) end as expected from level l
+), certain as (
+  select *, floor(expected) as whole, expected - floor(expected) as p, target - sum(floor(expected) * class_size) over (partition by source) as lacks from plan
 ), odds as (
-  select d.doc_id, d.source, d.size, t.source_size, t.target, case when t.source_size > 0 then floor(t.target / t.source_size) else 0 end as whole,
-    case when t.source_size > 0 then t.target / t.source_size else 0 end as expected,
-    (('0x' || substr(md5('{mixing.SEED}:' || d.doc_id), 1, 12))::bigint::double + 0.5) / 281474976710656::double as u
-  from sized d join target t on d.source is not distinct from t.source
+  select s.*, c.whole, c.p, c.lacks, (('0x' || substr(md5('{mixing.SEED}:' || s.doc_id), 1, 12))::bigint::double + 0.5) / 281474976710656::double as u
+  from sizes s join certain c on s.source is not distinct from c.source and s.weight = c.weight
 ), ranked as (
-  select *, expected - whole as p, target - whole * source_size as lacks, (u / (1 - u)) / ((expected - whole) / (1 - (expected - whole))) as rank from odds
+  select *, case when p > 0 and size > 0 then (u / (1 - u)) / (p / (1 - p)) end as rank from odds
 ), ahead as (
-  select *, coalesce(sum(size) over (partition by source order by rank, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before from ranked
+  select *, coalesce(sum(size) over (partition by source order by rank nulls last, doc_id, size rows between unbounded preceding and 1 preceding), 0) as before from ranked
 )
-select doc_id, size, source_size, target, ((whole + (p > 0 and before + size / 2 <= lacks)::int) * size)::bigint as taken from ahead
+select doc_id, size, source_size, target, ((whole + (rank is not null and before + size / 2 <= lacks)::int) * size)::bigint as taken from ahead
 """
 
 

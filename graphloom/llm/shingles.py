@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SHINGLE = 5
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 

@@ -49,10 +49,33 @@ def test_targets_and_takes(spark):
     assert again.exceptAll(X.digest(df)).isEmpty()
 
 
-def test_a_smaller_share_is_part_of_a_larger_one(spark):
-    df = spark.createDataFrame([(k, "w " * (k % 9), "s") for k in range(2000)], "doc_id long, text string, source string")
-    few, many = ({r["doc_id"] for r in X.mix(df, (1,), share).where("copies > 0").collect()} for share in (0.3, 0.6))
-    assert few < many
+def test_inclusion_goes_by_weight(spark):
+    """Of each size class about its own share is taken: certain copies, and p of the documents once more."""
+    rnd = random.Random(4)
+    rows = [(k, "w " * rnd.choice([1, 3, 10, 40, 200]), "s") for k in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for share in (0.4, 1.6):
+        sizes = {}
+        for _, t, _ in rows:
+            sizes.setdefault(len(t) // 2, []).append(len(t) // 2)
+        weight = {n: n.bit_length() for n in sizes}
+        target, open_ = share * sum(map(sum, sizes.values())), dict(sizes)
+        want = {}
+        while open_:
+            c = target / sum(weight[n] * sum(v) for n, v in open_.items())
+            above = [n for n in open_ if c * weight[n] >= 2]
+            if not above:
+                want |= {n: c * weight[n] for n in open_}
+                break
+            top = max(above)
+            want[top], target = 2.0, target - 2 * sum(open_.pop(top))
+        got = {}
+        for r in X.mix(df, (1,), share).collect():
+            got.setdefault(r["size"], []).append(r["copies"])
+        for n, copies in got.items():
+            assert set(copies) <= {int(want[n]), int(want[n]) + 1}
+            assert abs(sum(copies) / len(copies) - want[n]) < 0.06, (share, n)
+        assert want[200] > 1.2 * want[1]
 
 
 def test_empty(spark):
