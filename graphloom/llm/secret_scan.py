@@ -39,17 +39,77 @@ _SPAN = "array<struct<start:int,rank:int,stop:int>>"
 _STRING = "array<struct<start:int,stop:int,text:string>>"
 
 
+#: Rows of a running result that are made in one go.
+BLOCK = 128
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(rows: Column, kind: str, zero: Column, step) -> Column:
+    """What step(state, row) -> (state, out) gives for each row in turn, as an array of `kind`.
+
+    An aggregate copies what it has so far at every step, so the states at the heads of blocks come first, and then
+    each block by itself: for n rows n * BLOCK / 2 copies of a row and (n / BLOCK)^2 / 2 of a state.
+    """
+
+    def heads(blocks: Column) -> Column:
+        none = F.struct(zero.alias("state"), F.filter(F.array(zero), lambda x: F.lit(False)).alias("all"))
+
+        def add(x: Column, block: Column) -> Column:
+            return F.struct(F.aggregate(block, x["state"], lambda s, row: step(s, row)[0]).alias("state"), F.concat(x["all"], F.array(x["state"])).alias("all"))
+
+        return F.aggregate(blocks, none, add, lambda x: x["all"])
+
+    def one(block: Column, head: Column) -> Column:
+        def add(x: Column, row: Column) -> Column:
+            state, out = step(x["state"], row)
+            return F.struct(state.alias("state"), F.concat(x["out"], F.array(out)).alias("out"))
+
+        return F.aggregate(block, F.struct(head.alias("state"), F.array().cast(f"array<{kind}>").alias("out")), add, lambda x: x["out"])
+
+    def split(rows: Column) -> Column:
+        last = F.floor((F.size(rows) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(rows, k * BLOCK + 1, F.lit(BLOCK)))
+
+    return _bound(_bound(rows, split), lambda blocks: F.flatten(F.zip_with(blocks, heads(blocks), one)))
+
+
 def _placed(text: Column, found: Column, pattern: str) -> Column:
     """The matches with their places: what lies between them comes from splitting at the same pattern."""
-    pairs = F.zip_with(found, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda m, gap: F.struct(m.alias("m"), F.char_length(gap).alias("gap")))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(_STRING).alias("out"))
+    pairs = F.zip_with(found, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda m, gap: F.struct(m.alias("m"), F.char_length(gap).alias("gap"), F.char_length(m).alias("n")))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        start = at + x["gap"]
+        return start + x["n"], F.struct(start.alias("start"), (start + x["n"]).alias("stop"), x["m"].alias("text"))
+
+    return F.when(F.size(found) > 0, _running(pairs, "struct<start:int,stop:int,text:string>", F.lit(0), step)).otherwise(F.array().cast(_STRING))
+
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        stop = start + F.char_length(x["m"])
-        return F.struct(stop.alias("at"), F.concat(state["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), x["m"].alias("text")))).alias("out"))
+def _apart(strings: Column, base: Column) -> Column:
+    """The strings that no base span overlaps: both in one row by their starts, once forward with how far base spans
+    have reached, and once backward with where the next one starts."""
+    marked = F.concat(
+        F.transform(strings, lambda x: F.struct(x["start"].alias("start"), F.lit(1).alias("own"), x["stop"].alias("stop"), x["text"].alias("text"))),
+        F.transform(base, lambda x: F.struct(x["start"].alias("start"), F.lit(0).alias("own"), x["stop"].alias("stop"), F.lit(None).cast("string").alias("text"))),
+    )
+    kind = "struct<start:int,own:int,stop:int,text:string>"
 
-    return F.when(F.size(found) > 0, F.aggregate(pairs, none, step, lambda s: s["out"])).otherwise(F.array().cast(_STRING))
+    def kept(x: Column, good: Column) -> Column:
+        return F.struct(x["start"].alias("start"), F.when((x["own"] == 1) & ~good, F.lit(-1)).otherwise(x["own"]).alias("own"), x["stop"].alias("stop"), x["text"].alias("text"))
+
+    def forward(reach: Column, x: Column) -> tuple[Column, Column]:
+        return F.when(x["own"] == 0, F.greatest(reach, x["stop"])).otherwise(reach), kept(x, reach <= x["start"])
+
+    def backward(next_: Column, x: Column) -> tuple[Column, Column]:
+        return F.when(x["own"] == 0, x["start"]).otherwise(next_), kept(x, next_ >= x["stop"])
+
+    once = _running(F.array_sort(marked), kind, F.lit(0), forward)
+    twice = F.reverse(_running(F.reverse(once), kind, F.lit(2**31 - 1), backward))
+    free = F.transform(F.filter(twice, lambda x: x["own"] == 1), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["text"].alias("text")))
+    return F.when((F.size(strings) > 0) & (F.size(base) > 0), free).otherwise(strings)
 
 
 def least_sum(text: Column) -> Column:
@@ -67,8 +127,7 @@ def least_sum(text: Column) -> Column:
         moved = F.transform(counts, lambda c, k: c + F.when(k == x, F.lit(1)).otherwise(F.lit(0)) - F.when(k == y, F.lit(1)).otherwise(F.lit(0)))
         return F.struct(moved.alias("counts"), total.alias("sum"), F.when(i >= WINDOW - 1, F.least(state["least"], total)).otherwise(state["least"]).alias("least"))
 
-    # the one-element array binds the codes once; they are not computed anew for each step
-    return F.get(F.transform(F.array(codes), lambda a: F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), zero, lambda s, i: step(s, i, a), lambda s: s["least"])), F.lit(0))
+    return _bound(codes, lambda a: F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), zero, lambda s, i: step(s, i, a), lambda s: s["least"]))
 
 
 def _random(text: Column) -> Column:
@@ -89,7 +148,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.transform(strings, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["stop"].alias("stop")))
 
     based = placed.withColumn("_secret_base", F.concat(spans(good, 0), spans(F.col(names[1]), 1), spans(F.col(names[2]), 2)))
-    free = F.filter(names[3], lambda x: ~F.exists("_secret_base", lambda s: (s["start"] < x["stop"]) & (x["start"] < s["stop"])) & _random(x["text"]))
+    based = based.withColumn(names[3], _apart(F.col(names[3]), F.col("_secret_base")))
+    free = F.filter(names[3], lambda x: _random(x["text"]))
     ordered = F.array_sort(F.concat("_secret_base", spans(free, 3)))
     return based.withColumn("spans", F.coalesce(ordered, F.array().cast(_SPAN))).drop(*names, "_secret_base")
 
@@ -101,15 +161,21 @@ def joined(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each stretch that spans cover replaced by the mark."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each stretch that spans cover replaced by the mark.
+
+    Pieces are cut from the text as four bytes a code point, so each one costs its own length only.
+    """
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        return F.greatest(at, s["stop"]), F.struct(at.alias("start"), s["start"].alias("stop"))
+
+    gaps = F.filter(_running(spans, "struct<start:int,stop:int>", F.lit(0), step), lambda g: (g["stop"] >= g["start"]))
+    end = F.array_max(F.transform(spans, lambda s: s["stop"]))
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        fresh = s["start"] >= state["at"]
-        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"))
+    def cut(wide: Column) -> Column:
+        pieces = F.transform(gaps, lambda g: F.decode(F.substring(wide, 4 * g["start"] + 1, 4 * (g["stop"] - g["start"])), "UTF-32"))
+        return F.array_join(F.concat(pieces, F.array(F.decode(F.substring(wide, 4 * end + 1, F.length(wide)), "UTF-32"))), mark)
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, zero, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text)))))
+    return F.when(F.size(spans) == 0, text).otherwise(_bound(F.encode(text, "UTF-32"), cut))
 
 
 def of_kind(rank: int):

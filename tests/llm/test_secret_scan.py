@@ -75,3 +75,23 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert S.digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_many_keys_in_one_text(spark):
+    """More matches than a block holds, and time that doesn't grow with their square."""
+    import time
+
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("0123456789abcdef") for _ in range(32)) + rnd.choice(["", "", "Q", "token=abcdef"]) for _ in range(8_000)]
+    took = {}
+    for n in (500, 2_000, 8_000):
+        t = " ".join(words[:n])
+        df = S.scan(spark.createDataFrame([(1, t)], "doc_id long, text string")).select(S.joined(F.col("spans")).alias("s"), S.redacted(F.col("text"), F.col("spans")).alias("r"))
+        df.collect()
+        began = time.perf_counter()
+        r = df.first()
+        took[n] = time.perf_counter() - began
+        assert r["r"].count("[SECRET]") >= n
+        if n == 500:
+            assert r["s"] == text_of(spans(t))
+    assert took[8_000] < 6 * took[2_000] + 1, took
