@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,6 +9,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.sources.checkpoints import shared_dir
+
 #: A word is a run of characters other than blank, tab, line feed, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_WORD = r"[\x20\x09-\x0D]+"
@@ -24,17 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); where it is unset, as in tests, one of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="spark-graphloom-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/graphloom-{uuid.uuid4().hex}/{name}"
 
