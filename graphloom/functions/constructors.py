@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.sources.graph import internal_ids
+
 _UNITS = {"year": 12, "month": 1, "week": 7, "day": 1, "hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000, "millisecond": 1_000, "microsecond": 1}
 _MONTHS, _DAYS = ("year", "month"), ("week", "day")
 
@@ -67,10 +69,11 @@ def rows_to_map(df: DataFrame, key: str, name: str, value: str, column: str) ->
 def reencoded(df: DataFrame, column: str, separator: str = "/") -> tuple[DataFrame, DataFrame]:
     """(df with owner and name_id for a key such as "42/DESC", dictionary(name_id, name)).
 
-    The dictionary numbers distinct names in their order; it is as long as there are names, not rows.
+    The dictionary numbers distinct names in their order, over ranges of them; it is as long as there are names, not
+    rows.
     """
     parts = F.split(F.col(column), separator, 2)
     split = df.withColumn("owner", F.get(parts, F.lit(0)).cast("bigint")).withColumn("_name", F.get(parts, F.lit(1)))
     names = split.select(F.col("_name").alias("name")).distinct()
-    dictionary = names.withColumn("name_id", F.row_number().over(Window.orderBy("name")) - 1)
+    dictionary = internal_ids(names.where("name is not null"), "name", 0).select("name", F.col("offset").cast("int").alias("name_id"))
     return split.join(dictionary, F.col("_name") == F.col("name")).drop("_name", "name"), dictionary

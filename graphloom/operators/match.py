@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.sources.graph import Graph
+from graphloom.sources.graph import Graph, internal_ids
 
 
 def scan(graph: Graph, label: str, **properties) -> DataFrame:
@@ -78,14 +78,26 @@ def incoming_counts(graph: Graph, rel: str) -> DataFrame:
     return nodes.join(counts, F.col("node") == F.col("_dst"), "left").select("node", F.coalesce("_n", F.lit(0)).alias("n"))
 
 
-def node_value(label: str, id_: Column, *properties: str) -> Column:
-    return F.struct(id_.alias("id"), F.lit(label).alias("label"), F.struct(*properties).alias("properties"))
+def _id() -> Column:
+    return F.struct("table_id", "offset")
 
 
-def rel_value(label: str, *properties: str) -> Column:
-    return F.struct(F.col("src"), F.col("dst"), F.lit(label).alias("label"), F.struct(*(properties or [F.lit(None).alias("none")])).alias("properties"))
+def node_values(graph: Graph, label: str, *properties: str) -> DataFrame:
+    """(key, node) of each node: node is struct(id, label, properties), id being its internal one (table_id, offset)."""
+    n = graph.nodes[label]
+    numbered = internal_ids(n.df.select(*dict.fromkeys([n.pk, *properties])), n.pk, graph.table_id(label))
+    return numbered.select(F.col(n.pk).alias("key"), F.struct(_id().alias("id"), F.lit(label).alias("label"), F.struct(*properties).alias("properties")).alias("node"))
 
 
+def rel_values(graph: Graph, rel: str, order: list[str], *properties: str) -> DataFrame:
+    """(src, dst, rel) of each relationship: rel is struct(id, src, dst, label, properties), its own internal id and
+    those of its ends. order names the columns by which relationships are numbered; they must tell them apart."""
+    r = graph.rels[rel]
+    numbered = internal_ids(r.df.select(*dict.fromkeys(["src", "dst", *order, *properties])), order, graph.table_id(rel))
+    ends = [node_values(graph, label).select(F.col("key").alias(f"_{end}"), F.col("node.id").alias(f"_{end}_id")) for end, label in (("src", r.src_label), ("dst", r.dst_label))]
+    joined = numbered.join(ends[0], F.col("src") == F.col("_src")).join(ends[1], F.col("dst") == F.col("_dst"))
+    own = F.struct(*(properties or [F.lit(None).alias("none")]))
+    return joined.select("src", "dst", F.struct(_id().alias("id"), F.col("_src_id").alias("src"), F.col("_dst_id").alias("dst"), F.lit(rel).alias("label"), own.alias("properties")).alias("rel"))
 
 
 def with_unique_names(df: DataFrame) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.sources.checkpoints import cut
 
-#: Rounds after which a closure is taken not to end.
-MOST_ROUNDS = 10_000
-
 
 def var_paths(edges: DataFrame, min_hops: int, max_hops: int, mode: str = "walk", rel_id: str | None = None, starts: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
     """(src, dst, hops, nodes, rels) of all paths of min_hops to max_hops relationships of edges(src, dst, …).
@@ -56,6 +55,13 @@ def with_properties(paths: DataFrame, nodes: DataFrame, key: str, *properties: s
     return keyed.join(got, (F.col("_path") == F.col("_p")) & (F.col("nodes") == F.col("_nodes")) & (F.col("rels") == F.col("_rels"))).drop("_path", "_p", "_nodes", "_rels")
 
 
+def path_values(paths: DataFrame, nodes: DataFrame, key: str, *properties: str) -> DataFrame:
+    """paths with path, struct(nodes, rels): nodes with their properties, and relationships as var_paths has them, which
+    without a rel_id is with all their columns."""
+    out = with_properties(paths, nodes, key, *properties)
+    return out.withColumn("path", F.struct(F.col("node_values").alias("nodes"), "rels")).drop("node_values")
+
+
 def walk_counts(edges: DataFrame, max_hops: int, starts: DataFrame | None = None) -> DataFrame:
     """(src, dst, hops, walks): how many walks join two nodes, without the walks. Rows are bounded by node pairs."""
     e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
@@ -68,13 +74,14 @@ def walk_counts(edges: DataFrame, max_hops: int, starts: DataFrame | None = None
     return out.select("src", "dst", "hops", "walks")
 
 
-def reachable(edges: DataFrame, starts: DataFrame | None = None, max_rounds: int = MOST_ROUNDS) -> DataFrame:
-    """(src, dst, hops): every pair joined by a path, with the least number of hops. Ends on cyclic graphs too."""
+def reachable(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """(src, dst, hops): every pair joined by a path, with the least number of hops. Ends on cyclic graphs too, after as
+    many rounds as the longest of these shortest paths has hops."""
     e = edges.select(F.col("src").alias("es"), F.col("dst").alias("ed")).distinct()
     frontier = e if starts is None else e.join(starts.select(F.col(starts.columns[0]).alias("_start")), F.col("es") == F.col("_start"), "left_semi")
     frontier = cut(frontier.select(F.col("es").alias("src"), F.col("ed").alias("dst"), F.lit(1).alias("hops")))
     seen = frontier
-    for hops in range(2, max_rounds + 1):
+    for hops in count(2):
         visited = seen.select(F.col("src").alias("vs"), F.col("dst").alias("vd"))
         step = frontier.join(e, F.col("dst") == F.col("es")).select("src", F.col("ed").alias("dst")).distinct()
         frontier = cut(step.join(visited, (F.col("src") == F.col("vs")) & (F.col("dst") == F.col("vd")), "left_anti").withColumn("hops", F.lit(hops)))
@@ -83,13 +90,27 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None, max_rounds: int
         seen = seen.unionByName(frontier)
         if hops % 8 == 0:
             seen = cut(seen)
-    raise RuntimeError(f"the closure didn't end in {max_rounds} rounds")
 
 
 def depths(nodes: DataFrame, key: str, edges: DataFrame) -> DataFrame:
-    """(node, depth): hops to the root of a containment forest, 0 for nodes without an outgoing relationship."""
-    far = reachable(edges).groupBy("src").agg(F.max("hops").alias("_depth"))
+    """(node, depth): hops to the root of a containment forest, 0 for nodes without an outgoing relationship.
+
+    Each node holds how far it has come and where; a round doubles that, so a forest of depth d takes log2(d) joins
+    of one row a node. A node in two containers, or a cycle, is an error.
+    """
+    up = edges.select(F.col("src").alias("node"), F.col("dst").alias("at")).distinct()
+    now = cut(up.withColumn("depth", F.lit(1)))
+    rows = now.count()
+    if rows != now.select("node").distinct().count():
+        raise ValueError("a node is in two containers")
+    for round_ in count():
+        ahead = now.select(F.col("node").alias("_n"), F.col("at").alias("_at"), F.col("depth").alias("_more"))
+        joined = now.join(ahead, F.col("at") == F.col("_n"), "left")
+        if not joined.where("_n is not null").count():
+            break
+        if 2**round_ > 2 * rows:
+            raise ValueError("containment has a cycle")
+        now = cut(joined.select("node", F.coalesce("_at", "at").alias("at"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth")))
+    far = now.select(F.col("node").alias("src"), F.col("depth").alias("_depth"))
     keys = nodes.select(F.col(key).alias("node"))
     return keys.join(far, F.col("node") == F.col("src"), "left").select("node", F.coalesce("_depth", F.lit(0)).alias("depth"))
-
-

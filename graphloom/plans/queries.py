@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from graphloom.operators import params as B
 from graphloom.operators import paths as G
 from graphloom.operators import report as R
 from graphloom.operators import search as N
-from graphloom.sources.graph import Graph, driver_graph, internal_ids
+from graphloom.sources.checkpoints import shared_dir
+from graphloom.sources.graph import Graph, driver_graph, internal_ids, read_csv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,9 +67,9 @@ def endpoint_check(g: Graph) -> DataFrame:
     return g.dangling_ends()
 
 
-@on_graph("select * from (values " + ", ".join([f"('{k}', 'NODE', null::varchar, null::varchar, '{c}')" for k, (_, c) in _KEYS.items()] + [f"('{k}', 'REL', '{a}', '{b}', null)" for k, (_, a, b) in _RELS.items()]) + ") t(name, kind, src_label, dst_label, pk)")
+@on_graph(" union all ".join([f"select '{k}' as name, 'NODE' as kind, null::varchar as src_label, null::varchar as dst_label, '{c}' as pk, (select count(*) from {t}) as rows" for k, (t, c) in _KEYS.items()] + [f"select '{k}', 'REL', '{a}', '{b}', null, (select count(*) from {t})" for k, (t, a, b) in _RELS.items()]))
 def show_tables(g: Graph) -> DataFrame:
-    return g.tables()
+    return g.tables().join(g.row_counts(), "name")
 
 
 @query("select p_partkey, p_name from part union all select p_partkey + 1000000000, upper(p_name) from part")
@@ -110,9 +112,31 @@ def update_map_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("c_custkey", F.array_join(F.transform(F.array_sort(F.map_entries("attrs")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("attrs"))
 
 
-@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 350000)")
 def delete_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.delete_nodes(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", table(spark, sf_dir, "orders").select("o_custkey").distinct())
+    gone = table(spark, sf_dir, "orders").where("o_totalprice > 350000").select("o_custkey").distinct()
+    return U.delete_nodes(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey", gone)
+
+
+@on_graph("select 'nodes' as what, (select count(*) from customer where c_acctbal >= 0)::bigint as before, (select count(*) from customer)::bigint as after union all select 'dangling', (select count(*) from orders where o_custkey in (select c_custkey from customer where c_acctbal < 0)), 0")
+def all_or_nothing(g: Graph) -> DataFrame:
+    """Customers in debt are missing, so their orders dangle; one change that adds them all makes the graph whole."""
+    whole = g.node("Customer")
+    part = Graph(g.spark).add_nodes("Customer", whole.where("c_acctbal >= 0"), "c_custkey").add_nodes("Orders", g.node("Orders"), "o_orderkey")
+    part.add_rels("Placed", g.rel("Placed"), "Customer", "Orders")
+    # the new graph's ends are checked as one, or there is no new graph
+    new = U.apply_changes(part, U.Changes(nodes={"Customer": whole.where("c_acctbal < 0")}))
+    counts = [x.node("Customer").agg(F.count("*").alias(c)) for x, c in ((part, "before"), (new, "after"))]
+    ends = [x.dangling_ends().select(F.col("missing_src").alias(c)) for x, c in ((part, "before"), (new, "after"))]
+    return counts[0].crossJoin(counts[1]).select(F.lit("nodes").alias("what"), "before", "after").unionByName(ends[0].crossJoin(ends[1]).select(F.lit("dangling").alias("what"), "before", "after"))  # one row each
+
+
+@query("select c_custkey, c_name, c_nationkey, c_acctbal from customer")
+def csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as CSV and loaded from it by a declared schema."""
+    at = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").write.option("header", True).csv(at)
+    return read_csv(spark, at, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double", header=True)
 
 
 # --- scans, predicates, projections --------------------------------------------------------------------------------
@@ -190,16 +214,25 @@ def first_row(g: Graph) -> DataFrame:
     return M.scan(g, "Part").select("p_partkey", "p_name").orderBy("p_partkey").limit(1)
 
 
-@on_graph("select n_nationkey as id, 'Nation' as label, n_name, n_regionkey from nation")
+@on_graph("""select n_nationkey as id, 1 as table_id, row_number() over (order by n_nationkey) - 1 as "offset", 'Nation' as label, n_name, n_regionkey from nation""")
 def return_node(g: Graph) -> DataFrame:
-    n = M.scan(g, "Nation").select(M.node_value("Nation", F.col("n_nationkey"), "n_name", "n_regionkey").alias("n"))
-    return n.select("n.id", "n.label", "n.properties.n_name", "n.properties.n_regionkey")
+    n = M.node_values(g, "Nation", "n_nationkey", "n_name", "n_regionkey")
+    return n.select(F.col("node.properties.n_nationkey").alias("id"), "node.id.table_id", "node.id.offset", "node.label", "node.properties.n_name", "node.properties.n_regionkey")
 
 
-@on_graph("select o_custkey as src, o_orderkey as dst, 'Placed' as label, o_totalprice, o_orderstatus from orders")
+@on_graph("""with c as (select c_custkey, row_number() over (order by c_custkey) - 1 as src_offset from customer), o as (select o_orderkey as k, row_number() over (order by o_orderkey) - 1 as dst_offset from orders)
+select o_custkey as src, o_orderkey as dst, 10 as table_id, row_number() over (order by o_orderkey) - 1 as "offset", 2 as src_table, src_offset, 5 as dst_table, dst_offset, 'Placed' as label, o_totalprice, o_orderstatus from orders join c on o_custkey = c_custkey join o on o_orderkey = k""")
 def return_rel(g: Graph) -> DataFrame:
-    r = g.rel("Placed").select(M.rel_value("Placed", "o_totalprice", "o_orderstatus").alias("r"))
-    return r.select("r.src", "r.dst", "r.label", "r.properties.o_totalprice", "r.properties.o_orderstatus")
+    r = M.rel_values(g, "Placed", ["dst"], "o_totalprice", "o_orderstatus")
+    ends = [F.col(f"rel.{end}.{a}").alias(f"{end}_{b}") for end in ("src", "dst") for a, b in (("table_id", "table"), ("offset", "offset"))]
+    return r.select("src", "dst", "rel.id.table_id", "rel.id.offset", *ends, "rel.label", "rel.properties.o_totalprice", "rel.properties.o_orderstatus")
+
+
+@query(f"""select c_custkey || '/' || name as akey, 0 as table_id, row_number() over (order by c_custkey || '/' || name) - 1 as "offset", value from {_ATTRS}""")
+def internal_id_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Internal ids of a label whose primary key is a string."""
+    rows = C.map_to_rows(_attributes(spark, sf_dir), "c_custkey", "attrs").select(F.concat_ws("/", "c_custkey", "name").alias("akey"), "value")
+    return internal_ids(rows, "akey", 0)
 
 
 @on_graph('select o_orderkey, 5 as table_id, row_number() over (order by o_orderkey) - 1 as "offset" from orders')
@@ -291,6 +324,13 @@ def path_props(g: Graph) -> DataFrame:
     return p.select("src", "dst", F.array_join("nodes", ">").alias("path"), F.array_join(F.transform("node_values", lambda v: v["c_name"]), ",").alias("names"))
 
 
+@on_graph(f"{_WALKS} select src, dst, (select string_agg(c_name, ',' order by i) from (select unnest(nodes) as n, generate_subscripts(nodes, 1) as i) x join customer on c_custkey = x.n) as names, array_to_string(rels, ',') as since from p where hops = 2")
+def path_value(g: Graph) -> DataFrame:
+    """A path as one value: nodes and relationships, both with their properties."""
+    p = G.path_values(G.var_paths(g.rel("Knows"), 2, 2), g.node("Customer"), "c_custkey", "c_name")
+    return p.select("src", "dst", F.array_join(F.transform("path.nodes", lambda v: v["c_name"]), ",").alias("names"), F.array_join(F.transform("path.rels", lambda r: r["since"].cast("string")), ",").alias("since"))
+
+
 @on_graph(f"{_WALKS} select src, dst, '<' || array_to_string(list_concat(list_transform(nodes, lambda x: '(:Customer {{c_custkey: ' || x || '}})'), list_transform(rels, lambda x: '[:Knows {{since: ' || x || '}}]')), ', ') || '>' as path from p")
 def render_path(g: Graph) -> DataFrame:
     p = G.var_paths(g.rel("Knows"), 1, 3, rel_id="since")
@@ -332,9 +372,10 @@ def count_nodes(g: Graph) -> DataFrame:
     return g.node("Customer").agg(F.count("c_custkey").alias("n"))
 
 
-@on_graph("select count(*) as n from customer where false")
+@on_graph("select count(*) as n from customer where c_acctbal > 1e12")
 def count_empty(g: Graph) -> DataFrame:
-    return g.node("Customer").where(F.lit(False)).agg(F.count("*").alias("n"))
+    """No customer is so rich: one row, 0."""
+    return g.node("Customer").where("c_acctbal > 1e12").agg(F.count("*").alias("n"))
 
 
 _SAMPLE = "select event_type, count(*)::bigint as n, {0}, max(value) as max, round(avg(value), 6) as mean from events group by event_type"
@@ -452,6 +493,46 @@ def fn_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"), F.year(day).alias("year"))
 
 
+@query("select o_orderkey, epoch_us(o_orderdate) as us, year(o_orderdate)::int as year, epoch_us(o_orderdate + interval 3 days + interval 2 hours) as later from orders")
+def fn_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ts, more = C.timestamp(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS")), C.interval(F.lit("3 days 2 hours"))
+    later = F.unix_micros(ts) + more["days"] * F.lit(86_400_000_000) + more["micros"]
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.unix_micros(ts).alias("us"), F.year(ts).alias("year"), later.alias("later"))
+
+
+@query("select l_orderkey, l_linenumber, (l_quantity::int % 14)::int as months, (l_quantity::int * 2)::int as days, (l_linenumber::bigint * 3600000000)::bigint as micros, (l_linenumber * 86400 * 3 + 7)::bigint as seconds, (l_linenumber * 3)::int as whole_days, 7000000::bigint as rest from lineitem")
+def fn_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals from texts, and from seconds."""
+    text = F.concat(F.col("l_quantity").cast("int") % 14, F.lit(" months "), F.col("l_quantity").cast("int") * 2, F.lit(" days "), "l_linenumber", F.lit(" hours"))
+    seconds = (F.col("l_linenumber") * 86400 * 3 + 7).cast("bigint")
+    back = V.interval_of(seconds)
+    i = C.interval(text)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", i["months"].alias("months"), i["days"].alias("days"), i["micros"].alias("micros"), seconds.alias("seconds"), back["days"].alias("whole_days"), back["micros"].alias("rest"))
+
+
+@query("select o_orderkey, ((o_orderkey - 1000)::hugeint * 18446744073709551616::hugeint + 7)::varchar as wide from orders")
+def int128_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", V.int128(F.col("o_orderkey") - 1000, F.lit(7)).alias("wide"))
+
+
+@query("select a.n_nationkey as a, b.n_nationkey as b from nation a join nation b on encode(a.n_name) = encode(b.n_name)")
+def blob_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blobs are equal by content."""
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.encode("n_name", "UTF-8").alias("bytes"))
+    return n.select(F.col("n_nationkey").alias("a"), F.col("bytes").alias("x")).join(n.select(F.col("n_nationkey").alias("b"), F.col("bytes").alias("y")), F.col("x") == F.col("y")).select("a", "b")
+
+
+@query("select p_partkey as name, p_name as name_2 from part")
+def duplicate_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of one alias: the leftmost is found by it."""
+    return M.with_unique_names(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("name"), F.col("p_name").alias("name")))
+
+
+@query("select p_brand as model, p_size as size, unnest([p_type, p_name]) as note from part")
+def explode_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.notes(table(spark, sf_dir, "part").select(F.col("p_brand").alias("model"), F.col("p_size").alias("size"), F.array("p_type", "p_name").alias("notes")))
+
+
 @query("select n_nationkey, upper(hex(encode(n_name))) as bytes, octet_length(encode(n_name))::int as n from nation")
 def fn_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.lit("\\x"), F.array_join(F.regexp_extract_all(F.hex("n_name"), F.lit("(..)")), "\\x"))

@@ -7,9 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-
-#: Key ranges of the numbering; at most as many rows are broadcast.
-RANGES = 64
+from .checkpoints import cut
 
 
 @dataclass(frozen=True)
@@ -67,6 +65,18 @@ class Graph:
         rows = [(n.label, "NODE", None, None, n.pk) for n in self.nodes.values()] + [(r.label, "REL", r.src_label, r.dst_label, None) for r in self.rels.values()]
         return self.spark.createDataFrame(rows, "name string, kind string, src_label string, dst_label string, pk string")
 
+    def row_counts(self) -> DataFrame:
+        """(name, rows) of every table."""
+        out = None
+        for t in [*self.nodes.values(), *self.rels.values()]:
+            own = t.df.agg(F.count("*").alias("rows")).select(F.lit(t.label).alias("name"), "rows")
+            out = own if out is None else out.unionByName(own)
+        return out
+
+    def table_id(self, label: str) -> int:
+        """The table's number in internal ids: node tables in the order of their declaration, then relationships."""
+        return [*self.nodes, *self.rels].index(label)
+
     def key_violations(self) -> DataFrame:
         """(table_name, violations): rows of each label whose key is null or taken by another row."""
         out = None
@@ -115,20 +125,22 @@ def row_stream(df: DataFrame):
     return df.toLocalIterator()
 
 
-def internal_ids(df: DataFrame, pk: str, table_id: int) -> DataFrame:
-    """df with columns table_id and offset, offsets dense in the order of the primary key.
+def setting(spark: SparkSession, name: str) -> str | None:
+    """The session's value of a setting; null if it has none."""
+    return spark.conf.get(name, None)
+
+
+def internal_ids(df: DataFrame, key: str | list[str], table_id: int) -> DataFrame:
+    """df with columns table_id and offset, offsets dense in the order of the key columns, of any type.
 
-    Key ranges are counted first, and a key's offset is its place in its range after the rows of the ranges before.
-    No task sees all rows; the ranges' counts are few. Keys must be unique and not null.
+    Rows are dealt by ranges of the key and kept; a row's offset is its place in its range after the rows of the
+    ranges before. No task sees all rows; the ranges' counts are as few as partitions. Keys must be unique, not null.
     """
-    bounds = df.stat.approxQuantile(pk, [k / RANGES for k in range(1, RANGES)], 0.001)
-    group = F.lit(0)
-    for b in sorted(set(bounds)):
-        group = group + F.when(F.col(pk) >= b, 1).otherwise(0)
-    ranged = df.withColumn("_range", group)
+    keys = [key] if isinstance(key, str) else key
+    ranged = cut(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
     counts = ranged.groupBy(F.col("_range").alias("_r")).agg(F.count("*").alias("_n"))
     ahead = counts.withColumn("_ahead", F.coalesce(F.sum("_n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_r", "_ahead")
-    place = F.row_number().over(Window.partitionBy("_range").orderBy(pk)) - 1
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
     joined = ranged.withColumn("_place", place).join(F.broadcast(ahead), F.col("_range") == F.col("_r"))
     return joined.select(*df.columns, F.lit(table_id).alias("table_id"), (F.col("_ahead") + F.col("_place")).alias("offset"))
 

@@ -1,77 +1,61 @@
 """A mutation log applied to an attribute table in micro-batches, last write wins.
 
-The table is a folder of versions; each batch writes the next one and then its name into a pointer file, so a reader
-sees a whole version or the one before. State is dealt into buckets by a hash of the object, and a batch rewrites
-only the buckets that it touches: a version holds those, and a manifest says where the others are.
+A batch is one Parquet folder that holds its own last writes; a reader takes the last writes of all finished folders,
+so it sees a batch whole or not at all. Every COMPACT batches the state so far is written as one folder, from which
+readers then start, so a batch costs its own rows and now and then one rewrite.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from graphloom.operators.mutate import latest
 
-BUCKETS = 16
+COMPACT = 16
 
 
 class VersionedTable:
     """Attribute states under `at`, any folder that Spark can write."""
 
-    def __init__(self, spark: SparkSession, at: str, keys: list[str], value: str, order: list[str], buckets: int = BUCKETS):
-        self.spark, self.at, self.keys, self.value, self.order, self.buckets = spark, at.rstrip("/"), keys, value, order, buckets
-
-    def _file(self, name: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def manifest(self) -> dict:
-        """{"batch": last batch, "buckets": {bucket: folder}}; empty before the first batch."""
-        fs, path = self._file("CURRENT")
-        if not fs.exists(path):
-            return {"batch": -1, "buckets": {}}
-        lines = self.spark.read.text(f"{self.at}/CURRENT", wholetext=True).collect()
-        return json.loads(lines[0][0])
-
-    def _publish(self, manifest: dict) -> None:
-        """Writes the manifest beside the old one, then renames it over: readers open one or the other."""
-        fs, temp = self._file("NEXT")
-        _, path = self._file("CURRENT")
-        out = fs.create(temp, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(temp.toUri() if temp.toUri().getScheme() else fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(context.makeQualified(temp), context.makeQualified(path), options)
+    def __init__(self, spark: SparkSession, at: str, keys: list[str], value: str, order: list[str], compact: int = COMPACT):
+        self.spark, self.at, self.keys, self.value, self.order, self.compact = spark, at.rstrip("/"), keys, value, order, compact
+
+    def finished(self, kind: str) -> list[int]:
+        """Numbers of the folders of a kind (state, batch) that Spark has finished."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{kind}=*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in found or [])
+
+    def folders(self) -> list[str]:
+        """What a reader needs: the newest state, and the batches after it."""
+        state = self.finished("state")[-1:]
+        return [f"{self.at}/state={n}" for n in state] + [f"{self.at}/batch={n}" for n in self.finished("batch") if not state or n > state[0]]
 
     def _columns(self) -> list[str]:
         return [*self.keys, self.value, *self.order]
 
     def read(self) -> DataFrame | None:
-        """The last whole version, or None before the first."""
-        folders = sorted(set(self.manifest()["buckets"].values()))
-        return self.spark.read.parquet(*folders).select(*self._columns()) if folders else None
+        """The state after the last finished batch, or None before the first."""
+        folders = self.folders()
+        return latest(self.spark.read.parquet(*folders).select(*self._columns()), self.keys, self.value, self.order) if folders else None
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Merges a batch. One that has been applied changes nothing, so a replay is safe."""
-        manifest = self.manifest()
-        if batch_id <= manifest["batch"]:
+        """Adds a batch. One that has been applied changes nothing, so a replay is safe."""
+        if batch_id <= max([-1, *self.finished("state"), *self.finished("batch")]):
             return
-        bucket = F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int")
-        new = latest(batch.select(*self._columns()), self.keys, self.value, self.order).withColumn("bucket", bucket)
-        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
-        old = sorted({manifest["buckets"][str(b)] for b in touched if str(b) in manifest["buckets"]})
-        merged = new.drop("bucket")
-        if old:
-            merged = latest(merged.unionByName(self.spark.read.parquet(*old).select(*self._columns())), self.keys, self.value, self.order)
-        folder = f"{self.at}/v={batch_id}"
-        merged.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        buckets = manifest["buckets"] | {str(b): f"{folder}/bucket={b}" for b in touched}
-        self._publish({"batch": batch_id, "buckets": buckets})
+        latest(batch.select(*self._columns()), self.keys, self.value, self.order).write.mode("overwrite").parquet(f"{self.at}/batch={batch_id}")
+        if len(self.folders()) > self.compact:
+            self.read().write.mode("overwrite").parquet(f"{self.at}/state={batch_id}")
+            self._clear()
+
+    def _clear(self) -> None:
+        """Removes what readers no longer start from; the state before the newest stays, for those that opened it."""
+        states = self.finished("state")
+        if len(states) > 1:
+            old = [("state", n) for n in states[:-2]] + [("batch", n) for n in self.finished("batch") if n <= states[-2]]
+            for kind, n in old:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{kind}={n}")
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def run_upserts(log: DataFrame, to: VersionedTable, checkpoint: str):

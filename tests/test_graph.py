@@ -64,6 +64,30 @@ def test_internal_ids_are_dense_by_key(spark):
     assert [r["offset"] for r in rows] == list(range(5000)) and {r["table_id"] for r in rows} == {4}
 
 
+def test_internal_ids_of_text_and_of_several_columns(spark):
+    df = spark.createDataFrame([(f"k{k * 7 % 100}", k % 3) for k in range(100)], "k string, j long")
+    by_text = S.internal_ids(df, "k", 0).orderBy("offset").collect()
+    assert [r["k"] for r in by_text] == sorted(r["k"] for r in by_text) and [r["offset"] for r in by_text] == list(range(100))
+    by_both = S.internal_ids(df, ["j", "k"], 0).orderBy("offset").collect()
+    assert [(r["j"], r["k"]) for r in by_both] == sorted((r["j"], r["k"]) for r in by_both)
+    assert S.internal_ids(df.limit(0), "k", 0).count() == 0
+
+
+def test_values_carry_internal_ids(spark, knows):
+    label = next(iter(knows.nodes))
+    rel = next(iter(knows.rels))
+    ids = {r["key"]: r["node"]["id"]["offset"] for r in M.node_values(knows, label, knows.nodes[label].pk).collect()}
+    assert sorted(ids.values()) == list(range(len(ids))) and [k for k, _ in sorted(ids.items(), key=lambda x: x[1])] == sorted(ids)
+    rows = M.rel_values(knows, rel, knows.rel(rel).columns).collect()
+    assert len(rows) == knows.rel(rel).count() and sorted(r["rel"]["id"]["offset"] for r in rows) == list(range(len(rows)))
+    for r in rows:
+        assert (r["rel"]["src"]["offset"], r["rel"]["dst"]["offset"]) == (ids[r["src"]], ids[r["dst"]]) and r["rel"]["id"]["table_id"] == knows.table_id(rel)
+
+
+def test_settings(spark):
+    assert S.setting(spark, "spark.sql.session.timeZone") == "UTC" and S.setting(spark, "no.such.setting") is None
+
+
 def test_csv_and_json_sources(spark, tmp_path):
     (tmp_path / "good.csv").write_text("1,Limbo\n2,Hall\n")
     (tmp_path / "bad.csv").write_text("x,Limbo\n")

@@ -75,3 +75,13 @@ def test_bounds_are_required(spark):
             G.var_paths(edges, low, high)
     with pytest.raises(ValueError):
         G.var_paths(edges, 1, 2, "other")
+
+
+def test_depths_of_a_long_chain_and_of_what_is_no_forest(spark):
+    nodes = spark.range(70).withColumnRenamed("id", "k")
+    chain = [(k, k + 1) for k in range(60)] + [(65, 30)]
+    got = {r["node"]: r["depth"] for r in G.depths(nodes, "k", spark.createDataFrame(chain, "src long, dst long")).collect()}
+    assert got == {k: max(0, 60 - k) if k <= 60 else 31 if k == 65 else 0 for k in range(70)}
+    for bad in ([(0, 1), (0, 2)], [(0, 1), (1, 2), (2, 0)]):
+        with pytest.raises(ValueError):
+            G.depths(nodes, "k", spark.createDataFrame(bad, "src long, dst long")).count()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from graphloom.operators import equality as E
@@ -56,11 +57,13 @@ def test_report_rules(spark):
     assert notes.count() == 2
 
 
-def test_vector_top_k(spark):
+@pytest.mark.parametrize("group_rows", [7, 10_000])
+def test_vector_top_k(spark, group_rows, monkeypatch):
+    monkeypatch.setattr(N, "TILE_VECTORS", 16)
     rows = [(k, [float(k % 7), 1.0, float(k % 3)]) for k in range(60)] + [(100, None), (101, [0.0, 0.0, 0.0]), (102, [float("nan"), 1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {}
-    for r in N.vector_top_k(df, df.where("vec_id % 20 = 0"), 3).collect():
+    for r in N.vector_top_k(df, df.where("vec_id % 20 = 0"), 3, group_rows).collect():
         got.setdefault(r["query_id"], []).append((r["place"], r["vec_id"], r["score"]))
     import math
 
