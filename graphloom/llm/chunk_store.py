@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, small_batches, stored
+from .common import fresh_dir, little_memory, stored
 from .shingles import mix
-from .tokens import encoder
+from .tokens import encoder, larger
 
 END_ID = 0
 #: Chunk sizes in ids: least, about the mean less the least, most. Well below a document and a shared passage.
@@ -85,40 +85,41 @@ def merkle_root(digests: bytes) -> bytes:
 
 def _split(path: str, wide: bool, mean: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, sent, kind, width = encoder(path), set(), "<u4" if wide else "<u2", 4 if wide else 2
-        for batch in batches:
-            for first, ids, at in encode.slices(batch.column(2)):
-                n_rows = len(at) - 1
-                ids = np.insert(ids, at[1:], END_ID)
-                at = (at + np.arange(n_rows + 1)).tolist()
-                raw = ids.astype(kind).tobytes()
-                marks = np.flatnonzero((rolling(ids) & np.uint64(mean - 1)) == 0)
-                lo = np.searchsorted(marks, at).tolist()
-                keys, sizes, bodies, counts, roots, recipes, lengths = ([] for _ in range(7))
-                for k in range(n_rows):
-                    begin, a = at[k], 0
-                    ends = cuts(marks[lo[k] : lo[k + 1]] - begin, at[k + 1] - begin)
-                    own = []
-                    for b in ends:
-                        body = raw[width * (begin + a) : width * (begin + b)]
-                        own.append(d := blake2b(body, digest_size=DIGEST).digest())
-                        if d not in sent:
-                            if len(sent) >= REMEMBERED:
-                                sent.clear()
-                            sent.add(d)
-                            keys.append(d)
-                            sizes.append(b - a)
-                            bodies.append(body)
-                        a = b
-                    recipes.append(joined := b"".join(own))
-                    counts.append(len(ends))
-                    roots.append(merkle_root(joined))
-                    lengths.append(np.diff(ends, prepend=0).astype("<u2").tobytes())
-                none = [None] * len(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([["chunk"] * len(keys), keys, none, none, none, sizes, none, none, bodies], _TYPES, strict=True)], names=_NAMES)
-                rows, names = batch.column(0).slice(first, n_rows), batch.column(1).slice(first, n_rows)
-                parts = [x.to_bytes(8, "big") for x in rows.to_numpy().tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(["recipe"] * n_rows), pa.array(parts, pa.binary()), rows, names, pa.array(counts, pa.int32()), pa.array(np.diff(at)), pa.array(roots, pa.binary()), pa.array(lengths, pa.binary()), pa.array(recipes, pa.binary())], names=_NAMES)
+        sent, kind, width = set(), "<u4" if wide else "<u2", 4 if wide else 2
+        with encoder(path) as encode:
+            for batch in larger(batches):
+                for first, ids, at in encode.slices(batch.column(2)):
+                    n_rows = len(at) - 1
+                    ids = np.insert(ids, at[1:], END_ID)
+                    at = (at + np.arange(n_rows + 1)).tolist()
+                    raw = ids.astype(kind).tobytes()
+                    marks = np.flatnonzero((rolling(ids) & np.uint64(mean - 1)) == 0)
+                    lo = np.searchsorted(marks, at).tolist()
+                    keys, sizes, bodies, counts, roots, recipes, lengths = ([] for _ in range(7))
+                    for k in range(n_rows):
+                        begin, a = at[k], 0
+                        ends = cuts(marks[lo[k] : lo[k + 1]] - begin, at[k + 1] - begin)
+                        own = []
+                        for b in ends:
+                            body = raw[width * (begin + a) : width * (begin + b)]
+                            own.append(d := blake2b(body, digest_size=DIGEST).digest())
+                            if d not in sent:
+                                if len(sent) >= REMEMBERED:
+                                    sent.clear()
+                                sent.add(d)
+                                keys.append(d)
+                                sizes.append(b - a)
+                                bodies.append(body)
+                            a = b
+                        recipes.append(joined := b"".join(own))
+                        counts.append(len(ends))
+                        roots.append(merkle_root(joined))
+                        lengths.append(np.diff(ends, prepend=0).astype("<u2").tobytes())
+                    none = [None] * len(keys)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([["chunk"] * len(keys), keys, none, none, none, sizes, none, none, bodies], _TYPES, strict=True)], names=_NAMES)
+                    rows, names = batch.column(0).slice(first, n_rows), batch.column(1).slice(first, n_rows)
+                    parts = [x.to_bytes(8, "big") for x in rows.to_numpy().tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(["recipe"] * n_rows), pa.array(parts, pa.binary()), rows, names, pa.array(counts, pa.int32()), pa.array(np.diff(at)), pa.array(roots, pa.binary()), pa.array(lengths, pa.binary()), pa.array(recipes, pa.binary())], names=_NAMES)
 
     return run
 
@@ -138,7 +139,7 @@ def write(docs: DataFrame, path: str, to: str, mean: int = MEAN) -> None:
     # chunks meet by digest; each task has sent a body once, and recipes have parts of their own
     same = Window.partitionBy("kind", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     once = parts.withColumn("seen", F.count(F.lit(1)).over(same)).where("seen = 1").withColumn("part", F.when(F.col("kind") == "chunk", F.col("part"))).drop("seen")
-    with small_batches(spark):
+    with little_memory(spark):
         once.write.partitionBy("kind").option("compression", "zstd").parquet(f"{to}/content")
     # running totals over ranges of (doc_id, row): sums of the ranges first, then within each
     light = _content(spark, to, "recipe").select("doc_id", "row", "n_chunks", F.col("n").alias("n_tokens"), "root")

@@ -17,8 +17,9 @@ NOT_WORD = r"[\x20\x09-\x0D]+"
 
 #: Rows up to which a side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
-#: Rows and bytes of a batch that goes to a Python task.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+#: Rows and bytes of a batch that goes to a Python task, and files of different folders that a task writes at once, so
+#: that it needn't sort its rows by folder.
+LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "2m", "spark.sql.maxConcurrentOutputFileWriters": "8"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +31,10 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Within it, Spark hands texts to Python tasks in batches of a few MB, whatever the session's own limits."""
-    before = {k: spark.conf.get(k) for k in BATCHES}
-    for k, v in BATCHES.items():
+def little_memory(spark: SparkSession) -> Iterator[None]:
+    """Within it, what runs keeps to LIMITS, whatever the session's own."""
+    before = {k: spark.conf.get(k) for k in LIMITS}
+    for k, v in LIMITS.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -45,7 +46,7 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage ends there and survives lost executors."""
     at = fresh_dir(df.sparkSession, name)
-    with small_batches(df.sparkSession):
+    with little_memory(df.sparkSession):
         df.write.partitionBy(*partition_by).parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .tokens import encoder
+from .tokens import encoder, larger
 
 TOKENS = 2048
 #: Capacities: tokens, documents, attention cost; by default the last two bind no earlier than the first.
@@ -33,21 +33,21 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _pieces(path: str, most: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        for batch in batches:
-            names = batch.column(0)
-            for first, ids, at in encode.slices(batch.column(1)):
-                row, piece, start, length, crc, body = [], [], [], [], [], []
-                for k in range(len(at) - 1):
-                    own = np.append(ids[at[k] : at[k + 1]], np.uint32(END_ID)).astype("<u4")
-                    for n, a in enumerate(range(0, len(own), most)):
-                        part = own[a : a + most].tobytes()
-                        for to, x in ((row, first + k), (piece, n), (start, a), (length, len(part) // 4), (crc, zlib.crc32(part))):
-                            to.append(x)
-                        if with_ids:
-                            body.append(part)
-                columns = [names.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(body, pa.binary())] * with_ids, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+        with encoder(path) as encode:
+            for batch in larger(batches):
+                names = batch.column(0)
+                for first, ids, at in encode.slices(batch.column(1)):
+                    row, piece, start, length, crc, body = [], [], [], [], [], []
+                    for k in range(len(at) - 1):
+                        own = np.append(ids[at[k] : at[k + 1]], np.uint32(END_ID)).astype("<u4")
+                        for n, a in enumerate(range(0, len(own), most)):
+                            part = own[a : a + most].tobytes()
+                            for to, x in ((row, first + k), (piece, n), (start, a), (length, len(part) // 4), (crc, zlib.crc32(part))):
+                                to.append(x)
+                            if with_ids:
+                                body.append(part)
+                    columns = [names.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns + [pa.array(body, pa.binary())] * with_ids, names=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
 
     return run
 

@@ -16,17 +16,18 @@ import os
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Cuts that a worker keeps: two generations of half as many. When the young one is full it becomes the old one, and
+#: Cuts that a task keeps: two generations of half as many. When the young one is full it becomes the old one, and
 #: what the texts use again moves to the young one.
-CACHE_CUTS = 800_000
+CACHE_CUTS = 150_000
 #: Bytes of a longest cut that is kept.
 LONGEST_KEPT = 64
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Cuts encoded as one string.
 JOINED = 1_000
 MARK = r"([!-/:-@\[-`{-~])"
@@ -142,7 +143,10 @@ class Encoder:
         flat, begin = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
         each = size[codes]
         to = np.cumsum(each)
-        ids = flat[np.arange(int(to[-1]) if len(to) else 0) + np.repeat(begin[codes] - to + each, each)]
+        # places fit 4 bytes: a slice is a few MB, or one text, and a text's ids are no more than its bytes
+        at_flat = np.repeat((begin[codes] - to + each).astype(np.int32), each)
+        at_flat += np.arange(len(at_flat), dtype=np.int32)
+        ids = flat[at_flat]
         bounds = np.concatenate([[0], to])[at]
         rows = np.flatnonzero(bad)
         if len(rows):
@@ -152,11 +156,30 @@ class Encoder:
         return ids, bounds
 
 
+def larger(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about this many bytes or more: cuts that repeat in a batch are looked up once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.nbytes for x in held) >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process and vocabulary."""
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """One for each worker process and vocabulary; the cuts that it keeps go when the task ends, for a worker outlives
+    many tasks and other operators need its memory."""
     if path not in _encoders:
+        _encoders.clear()
         _encoders[path] = Encoder(path)
-    return _encoders[path]
+    try:
+        yield _encoders[path]
+    finally:
+        _encoders[path].kept, _encoders[path].old = {}, {}
+        pa.default_memory_pool().release_unused()
