@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import mixing, packing, quality, secret_scan
-from graphloom.llm.common import fresh_dir, small, small_batches, stored, table
+from graphloom.llm.common import fresh_dir, small, little_memory, stored, table
 from graphloom.llm.jaccard_join import jaccard_classes
 
 VOCABULARY = "word_bpe_49k.json"
@@ -79,7 +79,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        with small_batches(spark):
+        with little_memory(spark):
             stage(spark, docs, sf_dir).write.parquet(at := fresh_dir(spark, name))
         docs = spark.read.parquet(at)
     return STAGES[-1][1](spark, docs, sf_dir)
