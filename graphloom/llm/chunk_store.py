@@ -40,19 +40,21 @@ FAN = 16
 #: Digests of bodies that a task remembers to have sent.
 REMEMBERED = 200_000
 
-_gear = mix(np.arange(1 << 16, dtype=np.uint64), 61)
+_gear = mix(np.arange(1 << 16, dtype=np.uint64), 61).astype(np.uint32)
 _PARTS = "kind string, part binary, row long, doc_id long, n_chunks int, n long, root binary, lengths binary, body binary"
 _NAMES = ["kind", "part", "row", "doc_id", "n_chunks", "n", "root", "lengths", "body"]
 _TYPES = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def rolling(ids: np.ndarray) -> np.ndarray:
-    """A hash of the last WINDOW ids at each place; all ids at once, by shifted sums."""
-    g = _gear[ids & 0xFFFF] + ids.astype(np.uint64)
-    out = np.zeros(len(ids), np.uint64)
-    for k in range(WINDOW):
-        out[k:] += g[: len(g) - k] << np.uint64(k)
-    return mix(out, 62)
+    """A hash of the last WINDOW ids at each place, of which the upper bits depend on all of them; all ids at once, by
+    sums that double their reach."""
+    out, reach = _gear[ids & 0xFFFF], 1
+    while reach < WINDOW:
+        moved = out[:-reach] << np.uint32(reach)
+        out[reach:] += moved
+        reach *= 2
+    return out
 
 
 def cuts(marks: np.ndarray, n: int, least: int = LEAST, most: int = MOST) -> list[int]:
@@ -93,13 +95,13 @@ def _split(path: str, wide: bool, mean: int):
                     ids = np.insert(ids, at[1:], END_ID)
                     at = (at + np.arange(n_rows + 1)).tolist()
                     raw = ids.astype(kind).tobytes()
-                    marks = np.flatnonzero((rolling(ids) & np.uint64(mean - 1)) == 0)
+                    marks = np.flatnonzero(rolling(ids) < np.uint32((1 << 32) // mean))
                     lo = np.searchsorted(marks, at).tolist()
                     keys, sizes, bodies, counts, roots, recipes, lengths = ([] for _ in range(7))
                     for k in range(n_rows):
                         begin, a = at[k], 0
                         ends = cuts(marks[lo[k] : lo[k + 1]] - begin, at[k + 1] - begin)
-                        own = []
+                        own, held = [], []
                         for b in ends:
                             body = raw[width * (begin + a) : width * (begin + b)]
                             own.append(d := blake2b(body, digest_size=DIGEST).digest())
@@ -110,11 +112,12 @@ def _split(path: str, wide: bool, mean: int):
                                 keys.append(d)
                                 sizes.append(b - a)
                                 bodies.append(body)
+                            held.append(b - a)
                             a = b
                         recipes.append(joined := b"".join(own))
                         counts.append(len(ends))
                         roots.append(merkle_root(joined))
-                        lengths.append(np.diff(ends, prepend=0).astype("<u2").tobytes())
+                        lengths.append(np.array(held, "<u2").tobytes())
                     none = [None] * len(keys)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([["chunk"] * len(keys), keys, none, none, none, sizes, none, none, bodies], _TYPES, strict=True)], names=_NAMES)
                     rows, names = batch.column(0).slice(first, n_rows), batch.column(1).slice(first, n_rows)

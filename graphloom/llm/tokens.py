@@ -7,12 +7,14 @@ the vocabulary's normalizer turns into something else than one letter end no cut
 piece, texts with other white space are encoded whole; so are texts that hold a special token's string, which the
 library turns into that token.
 
-New cuts are encoded many at a time, with a separator between them that is a piece of its own.
+New cuts that are one run of Latin letters are one piece each, which goes to the vocabulary's model without the
+search for pieces. Others are encoded many at a time, with a separator between them that is a piece of its own.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -29,12 +31,21 @@ CACHE_CUTS = 150_000
 LONGEST_KEPT = 64
 SLICE_BYTES = 2 << 20
 #: Cuts encoded as one string.
-JOINED = 1_000
+JOINED = 200
+#: Runs of letters that stay single letters when normalized (İ doesn't), with the blank that belongs to the piece.
+LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 MARK = r"([!-/:-@\[-`{-~])"
 #: White space other than blank and line feed, and the mark below.
 ODD_SPACE = r"[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def _hidden_bytes() -> list[tuple[str, str]]:
+    """Bytes that can't be seen, and the character that stands for each in a byte-level vocabulary: the next from 256
+    on. The line feed is left alone: it parts the words. The bytes before the blank are in no word."""
+    hidden = [k for k in range(256) if not (33 <= k <= 126 or (k >= 161 and k != 173))]
+    return [(chr(k), chr(256 + n)) for n, k in enumerate(hidden) if k >= 32]
+
+
 def _is_letter(x: str) -> bool:
     return len(x) == 1 and unicodedata.category(x)[0] == "L"
 
@@ -50,6 +61,9 @@ class Encoder:
         self.separator = "\n" if self.blank_in_piece else " \x01 "
         self.separator_id = self.tokenizer.encode("\n", add_special_tokens=False).ids[0] if self.blank_in_piece else one[0]
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model, self.hidden, self.lower = self.tokenizer.model, _hidden_bytes(), self.tokenizer.normalizer is not None
+        tried = ["a", "Zum", "été", "Ærø", "naïve", "straßenbahn", "ŁÓDŹ", *(" Zum", " été") * self.blank_in_piece]
+        self.by_model = self._encode_words(tried) == self._encode(tried)
         self.letter_and_mark = f"([^\\P{{L}}{self._unlike_letters()}]){MARK}"
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -68,6 +82,24 @@ class Encoder:
             out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[k : k + 500], add_special_tokens=False)]
         return out
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of cuts that LETTERS matches."""
+        text = "\n".join(words)
+        shown = (text.lower() if self.lower else text).encode().decode("latin-1")
+        for byte, instead in self.hidden:
+            shown = shown.replace(byte, instead)
+        tokenize = self.model.tokenize
+        return [array("I", [y.id for y in tokenize(x)]).tobytes() for x in shown.split("\n")]
+
+    def _encode_new(self, cuts: list[str]) -> list[bytes]:
+        if not self.by_model:
+            return self._encode_cuts(cuts)
+        is_word = list(map(LETTERS.fullmatch, cuts))
+        words = [x for x, yes in zip(cuts, is_word, strict=True) if yes]
+        of_words = iter(self._encode_words(words) if words else [])
+        others = iter(self._encode_cuts([x for x, yes in zip(cuts, is_word, strict=True) if not yes]))
+        return [next(of_words if yes else others) for yes in is_word]
+
     def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut. What could touch a separator, or is one, is encoded alone."""
         mark = self.separator.strip(" ")
@@ -95,14 +127,17 @@ class Encoder:
     def _known(self, cuts: list[str]) -> list[bytes]:
         if len(self.kept) > CACHE_CUTS // 2:
             self.kept, self.old = {}, self.kept
-        kept, old = self.kept, self.old
-        new = [x for x in cuts if x not in kept]
-        kept.update((x, old[x]) for x in new if x in old)
-        new = [x for x in new if x not in old]
-        kept.update(zip(new, self._encode_cuts(new), strict=True))
-        known = list(map(kept.__getitem__, cuts))
-        for x in {x for x in new if len(x) > LONGEST_KEPT}:
-            del kept[x]
+        known = list(map(self.kept.get, cuts))
+        gone = [k for k, x in enumerate(known) if x is None]
+        if gone:
+            names = [cuts[k] for k in gone]
+            found = list(map(self.old.get, names))
+            new = [x for x, ids in zip(names, found, strict=True) if ids is None]
+            coded = iter(self._encode_new(new))
+            found = [next(coded) if ids is None else ids for ids in found]
+            for k, ids in zip(gone, found, strict=True):
+                known[k] = ids
+            self.kept.update((x, ids) for x, ids in zip(names, found, strict=True) if len(x) <= LONGEST_KEPT)
         return known
 
     def slices(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -182,4 +217,3 @@ def encoder(path: str) -> Iterator[Encoder]:
         yield _encoders[path]
     finally:
         _encoders[path].kept, _encoders[path].old = {}, {}
-        pa.default_memory_pool().release_unused()
