@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, little_memory, stored
+from .common import freed, fresh_dir, little_memory, stored
 from .shingles import mix
 from .tokens import encoder, larger
 
@@ -86,6 +86,7 @@ def merkle_root(digests: bytes) -> bytes:
 
 
 def _split(path: str, wide: bool, mean: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, kind, width = set(), "<u4" if wide else "<u2", 4 if wide else 2
         with encoder(path) as encode:
@@ -169,6 +170,7 @@ def _values(column: pa.Array) -> list:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+@freed
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of chunks (digest, n, ids): how many ids each one holds, and the CRC of them as 4 bytes each."""
     for batch in batches:
@@ -183,6 +185,7 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(held, pa.int64()), pa.array(crcs, pa.int64())], names=["d", "held", "crc"])
 
 
+@freed
 def _expanded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each chunk of recipes (row, root, digests, lengths): what it must hold and how many ids follow it."""
     for batch in batches:
@@ -231,6 +234,7 @@ def moved(crc: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return x
 
 
+@freed
 def _moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         row, crc, after, held = batch.columns

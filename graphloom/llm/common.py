@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,23 @@ def little_memory(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the memory that its task no longer uses goes back to the system: a worker outlives many tasks,
+    and the allocators would keep the most that any of them took."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: lineage ends there and survives lost executors."""
     at = fresh_dir(df.sparkSession, name)

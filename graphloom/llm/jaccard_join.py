@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import freed, small, stored
 from .components import components
 from .shingles import SHINGLE, mix, shingle_sets
 
@@ -77,6 +77,7 @@ def _cells(u: np.ndarray, cells: int) -> np.ndarray:
 def _describe(cells: int, shingle: int):
     """Each row's set size and 128-bit fingerprint, and the task's share of the count sketch."""
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, some = np.zeros(cells, np.uint16), False
         names = ["doc_id", "n_shingles", "hi", "lo", "chunk", "counts"]
@@ -99,6 +100,7 @@ def _describe(cells: int, shingle: int):
     return run
 
 
+@freed
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the chunks that this task gets."""
     total: dict[int, np.ndarray] = {}
@@ -131,6 +133,7 @@ def _signatures(sketch, cells: int, percent: int, boundary: int, shingle: int, l
     """Rows by kind: SUBSET (size c in place); RARE, a rare shingle of the set (its place in the order); BITS, the bitmap."""
     lists_from = -(-percent * boundary // 100)
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
         for batch in batches:
@@ -191,6 +194,7 @@ def _unlike(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 
 def _could(percent: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (np.asarray(batch.column(k)).astype(np.int64) for k in (2, 3))
@@ -201,6 +205,7 @@ def _could(percent: int):
 
 
 def _as_sets(shingle: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, sets, held = [], [], 0
@@ -219,6 +224,7 @@ def _as_sets(shingle: int):
 def _against_centre(percent: int):
     """Rows sorted by (centre, part), the centre's own first: the others are intersected with it."""
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, np.zeros(0, np.uint64)
         for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import freed, small, stored
 from .shingles import mix, text_slices
 
 SIZE = 1 << 11
@@ -139,6 +139,7 @@ def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lang, score
 
 
+@freed
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, m in vectors(batch.column(1)):
@@ -146,6 +147,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _predicted(model):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
         for batch in batches:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import freed, stored
 from .tokens import encoder, larger
 
 TOKENS = 2048
@@ -32,6 +32,7 @@ _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(path: str, most: int, with_ids: bool):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with encoder(path) as encode:
             for batch in larger(batches):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import freed, small, stored
 from .shingles import mix, text_slices, word_hashes, words
 
 BUCKETS = 1 << 16
@@ -42,6 +42,7 @@ def _grams(h: np.ndarray, first: np.ndarray, buckets: int) -> tuple[np.ndarray,
 
 
 def _count(buckets: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, buckets), np.int64)
         for batch in batches:
@@ -62,6 +63,7 @@ def _count(buckets: int):
     return run
 
 
+@freed
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, list[np.ndarray]] = {}
     for batch in batches:
@@ -135,6 +137,7 @@ def _failed(n_words, n_repeat_words):
 
 
 def _score(model):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols, at = _measured(batch.column(1), model.value)
@@ -144,6 +147,7 @@ def _score(model):
 
 
 def _keep(model, least: int | None, at: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols, steps = _measured(batch.column(at).cast(pa.string()), model.value)

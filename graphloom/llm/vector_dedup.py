@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import freed, small, stored
 from .components import components
 
 THRESHOLD = 0.95
@@ -39,6 +39,7 @@ def plan(classes: int, threshold: float = THRESHOLD, missed: float = MISSED) ->
 
 
 def _coded(bits: int, tables: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -62,6 +63,7 @@ def _coded(bits: int, tables: int):
 def _keys(tables: int):
     """A row for each table: what a vector's bucket is called there."""
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -104,6 +106,7 @@ def _links(ids, weights, v, codes, table, halves, threshold) -> tuple[np.ndarray
 def _met(tables: int, threshold: float):
     """Rows sorted by bucket and block pair; each run of them is one meeting."""
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         at = None
