@@ -304,7 +304,7 @@ def jaccard_classes(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE,
     by_subset, lists, bitmaps = (signed.where(F.col("kind") == k).drop("kind") for k in (SUBSET, RARE, BITS))
 
     # Small sets: the smallest set of a subset links with each other one for which the subset is large enough.
-    least = by_subset.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("n", "doc")).alias("least"), F.max("doc").alias("most")).where(F.col("least.doc") != F.col("most"))
+    least = by_subset.groupBy(F.col("key").alias("k")).agg(F.min(F.struct("n", "doc")).alias("least"), F.min("doc").alias("from_"), F.max("doc").alias("to_")).where("from_ <> to_").select("k", "least")
     near = by_subset.join(least, F.col("key") == F.col("k"))
     small_links = near.where((F.col("doc") != F.col("least.doc")) & ((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("least.n")))).select(F.col("doc").alias("a"), F.col("least.doc").alias("b"))
 

@@ -41,14 +41,30 @@ def test_against_brute_force_with_odd_rows(spark):
     passage = [word() for _ in range(60)]
     texts += [" ".join([word() for _ in range(rnd.randrange(3, 40))] + passage) for _ in range(60)]
     texts += [" ".join(word() for _ in range(9000))] * 2 + ["same words here and there now"] * 30
-    rows = list(enumerate(texts))
-    rnd.shuffle(rows)
+    check(spark, texts, rnd.sample(range(len(texts)), len(texts)))
+
+
+def check(spark, texts, ids):
+    rows = list(zip(ids, texts, strict=True))
+    random.Random(13).shuffle(rows)
     df = spark.createDataFrame([(i, t, "x", 1, 0) for i, t in rows], "doc_id long, text string, key string, n int, place int")
     got = J.jaccard_classes(df).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
     assert len(got) == len(rows)
 
 
+def test_small_sets_link_whichever_has_the_larger_id(spark):
+    """Pairs of 1 to 16 shingles that must link, or just must not, the smaller set first or second."""
+    rnd = random.Random(17)
+    texts = []
+    for n in range(1, 17):
+        for m in range(n, min(n + 4, 17) + 1):
+            base = [f"w{rnd.randrange(10**6)}" for _ in range(m + 4)]
+            texts += [" ".join(base[: n + 4]), " ".join(base)]
+    for ids in (range(len(texts)), range(len(texts) - 1, -1, -1)):
+        check(spark, texts, ids)
+
+
 def test_lists_dealt_over_parts_lose_no_link(spark):
     """Each list has two sets at most, and the copies make the sketch deal it over many parts."""
     rnd = random.Random(11)
