@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, chunk_store, language_id, license_scan, mixing, packing, quality, secret_scan, vector_dedup
+from . import chat_format, chunk_store, hard_negatives, language_id, license_scan, mixing, packing, quality, repeats, secret_scan, spelling, vector_dedup
 from .common import table
 from .jaccard_join import jaccard_classes
 
@@ -62,6 +62,20 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(turns.unionByName(own))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 #: Classes of texts by links of at least 80 %, in plain SQL: all shared shingles, then the closure of the links.
 OP9_SQL = r"""
 with recursive w as (
@@ -227,6 +241,52 @@ from written group by conv_id
 """
 
 
+OP11_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same, list_inner_product(a.e, v.e)::bigint as score
+  from v a join v on a.vec_id % 100 = 0 and a.vec_id <> v.vec_id and len(a.e) = len(v.e)
+), positives as (
+  select * from pairs where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), negatives as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id)::int as rank
+  from positives p join pairs n on p.anchor_id = n.anchor_id and not n.same and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 5
+"""
+
+#: Runs with their checksums bit by bit, then all pairs of words by edit distance, then the closure of forms. DuckDB's
+#: distance is one of bytes, so letters beyond ASCII become other characters of one byte for it.
+_WIDE, _NARROW = "".join(map(chr, range(0xC0, 0x100))), "".join(map(chr, range(33, 97))).replace("'", "''")
+_ONE = f"length(b.word) between length(a.word) - 1 and length(a.word) + 1 and levenshtein(translate(a.word, '{_WIDE}', '{_NARROW}'), translate(b.word, '{_WIDE}', '{_NARROW}')) = 1"
+OP12_SQL = rf"""
+with recursive bits as materialized (
+  select list(c order by i) as t from (select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) as c from range(256) r(i))
+), runs as materialized (
+  select doc_id, r, count(*) as c from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as r from documents) group by doc_id, r
+), hexed as (
+  select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || r)) as x from runs
+), summed as materialized (
+  select r, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(x) // 2), lambda k: ('0x' || x[2 * k + 1:2 * k + 2])::bigint)), lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) as h from hexed, bits
+), words as materialized (
+  select word, sum(c)::bigint as n from (select case when h % 97 = 0 then r[:h % length(r)] || r[h % length(r) + 2:] else r end as word, c from summed) where length(word) >= 5 group by word having sum(c) >= 3
+), near as materialized (
+  select a.word, b.word as other, b.n as other_n from words a join words b on left(a.word, 2) = left(b.word, 2) where {_ONE}
+  union select a.word, b.word, b.n from words a join words b on right(a.word, 2) = right(b.word, 2) where {_ONE}
+), best as (
+  select word, count(*)::bigint as n_near, arg_min(other, row(-other_n, other)) as other, max(other_n) as other_n from near group by word
+), forms as materialized (
+  select w.word, w.n, coalesce(n_near, 0)::bigint as n_near, case when other_n >= 2 * w.n then other end as form, case when other_n >= 2 * w.n then other_n end as form_n from words w left join best b on w.word = b.word
+), chain as (
+  select word, word as root, form from forms union all select c.word, f.word, f.form from chain c join forms f on c.form = f.word
+)
+select f.word, f.form, c.root, f.n, f.n_near, f.form_n from forms f join chain c on f.word = c.word and c.form is null
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -240,6 +300,9 @@ QUERIES = {
         op8_source_mixing,
         op9_ngram_jaccard_join,
         op10_chat_formatting,
+        op11_hard_negatives,
+        op12_spelling_variants,
+        op13_repeated_bytes,
     )
 }
 ORACLE = {
@@ -249,4 +312,6 @@ ORACLE = {
     "op8_source_mixing": _op8_sql(),
     "op9_ngram_jaccard_join": OP9_SQL,
     "op10_chat_formatting": _op10_sql(),
+    "op11_hard_negatives": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }

@@ -36,7 +36,7 @@ _bytes = mix(np.arange(1, 257, dtype=np.uint64), 7)
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least n of each."""
     if len(_powers.get("up", ())) < n:
         m = max(n, 2 * SLICE_BYTES)
@@ -79,7 +79,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    up, down = _power(len(data) + 1)
+    up, down = powers(len(data) + 1)
     run = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_bytes[_lower[data] if lower else data] * up[: len(data)], out=run[1:])
     return mix((run[ends] - run[starts]) * down[starts])
