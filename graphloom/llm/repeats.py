@@ -10,7 +10,8 @@ repeated windows.
 * The next digits halve down the range, eight ways a pass, until an item is one window: the digit of a part of the
   range is what all windows in it have in common. An item also knows all bytes that its windows cover. Where two items
   agree in those, all their windows repeat and the item is done; where nobody shares the digit, none does.
-* Of items that agree in all their bytes, one goes on for all, to meet those that agree in a part.
+* Of items that agree in all their bytes, one goes on for all, to meet those that agree in a part. From the second pass
+  on, items carry their own bytes; texts are joined once for those and once for the result, compressed on the way.
 
 A task merges its own equal items before anything is shuffled, so a run of one character costs a row. Counts are
 aggregates with map-side combine, joined back; no task holds a group.
@@ -31,11 +32,9 @@ from .shingles import mix, powers, text_slices
 WINDOW, GRAM = 400, 100
 #: Ways in which a pass splits an item, and bytes of a part of a long text.
 FANOUT, PART = 8, 1 << 18
-#: Bytes of items or spans by document up to which they are broadcast to the texts; beyond it the join shuffles.
-BROADCAST_BYTES = 32 << 20
 
 _values = [mix(np.arange(1, 257, dtype=np.uint64), seed) for seed in (31, 32)]
-ITEM = "_row long, p long, lo int, hi int, core long, hull long, n long"
+ITEM = "_row long, at long, p long, lo int, hi int, core long, hull long, n long"
 
 
 class _Hashes:
@@ -99,23 +98,22 @@ def _merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
 
 
 def _digits(window: int, gram: int, size: int):
-    """Items of (row, text) or, after the first pass, of (row, text, items): split into parts of `size` distances, equal
-    ones of a part of the input merged. A row without core is a span that is repeated: p is its start, n its length."""
+    """Items of (row, at, text) or, after the first pass, of (row, at, text, items), text being the document's bytes from
+    place `at` on: split into parts of `size` distances, equal ones of a part of the input merged. A row without core is
+    a span that is repeated: p is its start, n its length."""
     wide = window - gram + 1
 
     @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, given = np.asarray(batch.column(0)), None
-            if batch.num_columns > 2:
-                items = batch.column(2)
+            ids, begin, given = np.asarray(batch.column(0)), np.asarray(batch.column(1)), None
+            if batch.num_columns > 3:
+                items = batch.column(3)
                 of = np.repeat(np.arange(len(items)), np.asarray(items.value_lengths()))
                 given = (of, *(np.asarray(x) for x in items.flatten().flatten()))
-            for first, last, place, data, offsets in _parts(batch.column(1)):
+            for first, last, place, data, offsets in _parts(batch.column(2)):
                 if given is not None:
                     mine = (given[0] >= first) & (given[0] < last)
-                    if last - first == 1 and (place or len(data) > PART):
-                        mine &= (given[1] - given[3]) // PART == place // PART
                     if not mine.any():
                         continue
                 hashes = _Hashes(data)
@@ -123,7 +121,7 @@ def _digits(window: int, gram: int, size: int):
                     p, lo, hi = _items(hashes, offsets, window, gram)
                 else:
                     of, p, lo, hi = (x[mine] for x in given)
-                    p, lo, hi = p - place + offsets[of - first], lo.astype(np.int64), hi.astype(np.int64)
+                    p, lo, hi = p - begin[of] + offsets[of - first], lo.astype(np.int64), hi.astype(np.int64)
                 many = hi // size - lo // size + 1
                 k = np.repeat(np.arange(len(p)), many)
                 node = lo[k] // size + np.arange(len(k)) - np.repeat(np.cumsum(many) - many, many)
@@ -138,48 +136,76 @@ def _digits(window: int, gram: int, size: int):
                 spans = _merged(row[~new], (p - hi)[~new], (p - lo + window)[~new])
                 count = np.diff(np.r_[np.flatnonzero(new), len(p)]) if len(p) else np.zeros(0, np.int64)
                 p, lo, hi, core, hull, row = (x[new] for x in (p, lo, hi, core, hull, row))
-                base = place - offsets
+                base = begin[first:last] + place - offsets[:-1]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.r_[ids[first + row], ids[first + spans[0]]].astype(np.int64)),
+                        *(pa.array(np.r_[x[first + row], x[first + spans[0]]].astype(np.int64)) for x in (ids, begin)),
                         pa.array(np.r_[p + base[row], spans[1] + base[spans[0]]]),
                         *(pa.array(np.r_[x, np.zeros(len(spans[0]), np.int64)].astype(np.int32)) for x in (lo, hi)),
                         *(pa.concat_arrays([pa.array(x.view(np.int64)), pa.nulls(len(spans[0]), pa.int64())]) for x in (core, hull)),
                         pa.array(np.r_[count, spans[2] - spans[1]]),
                     ],
-                    names=["_row", "p", "lo", "hi", "core", "hull", "n"],
+                    names=["_row", "at", "p", "lo", "hi", "core", "hull", "n"],
                 )
 
     return run
 
 
+@freed
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column, a text, compressed, and its bytes."""
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        texts = [t or b"" for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
+        own = [pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary()), pa.array(map(len, texts), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *own], names=[*batch.schema.names[:-1], "packed", "n_bytes"])
+
+
+def _unpacked(packed: pa.Array, sizes: pa.Array) -> Iterator[np.ndarray]:
+    codec = pa.Codec("zstd")
+    for p, n in zip(packed, sizes.to_pylist(), strict=True):
+        yield np.frombuffer(codec.decompress(p.as_buffer(), n), np.uint8) if n else np.zeros(0, np.uint8)
+
+
+def _places(lists: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where each row's part of the fields of a list of structs begins, and the fields."""
+    return np.r_[0, np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))], [np.asarray(x) for x in lists.flatten().flatten()]
+
+
+def _cut_out(window: int):
+    """Of (row, packed, n_bytes, items): each item with the bytes of its windows, as (row, at, text, items)."""
+
+    @freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            upto, (_, p, lo, hi) = _places(batch.column(3))
+            texts = []
+            for row, data in enumerate(_unpacked(batch.column(1), batch.column(2))):
+                texts += [data[p[k] - hi[k] : p[k] - lo[k] + window].tobytes() for k in range(upto[row], upto[row + 1])]
+            items = pa.StructArray.from_arrays([pa.array(x) for x in (p, lo, hi)], ["p", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(batch.column(0)), np.diff(upto))), pa.array(p - hi), pa.array(texts, pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32)), items)], names=["_row", "at", "text", "items"])
+
+    return run
+
+
 @freed
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (doc_id, text, spans in any order): what the text keeps, and its removed runs."""
+    """Of (doc_id, packed, n_bytes, spans in any order): what the text keeps, and its removed runs."""
     for batch in batches:
-        found = batch.column(2)
-        lengths = np.asarray(found.fill_null([]).value_lengths())
-        start, end = (np.asarray(x) for x in found.flatten().flatten())
-        upto = np.r_[0, np.cumsum(lengths)]
-        sizes, spans, kept = [], [], []
-        for lo, hi, data, offsets in text_slices(batch.column(1)):
-            for row in range(lo, hi):
-                own = data[offsets[row - lo] : offsets[row - lo + 1]]
-                at = slice(upto[row], upto[row + 1])
-                _, a, b = _merged(np.zeros(lengths[row], np.int64), start[at], end[at])
-                keep = [own[x:y].tobytes() for x, y in zip(np.r_[0, b], np.r_[a, len(own)], strict=True)]
-                sizes.append(len(own))
-                spans.append([{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist(), strict=True)])
-                kept.append(b"".join(keep))
+        upto, (start, end) = _places(batch.column(3))
+        spans, kept = [], []
+        for row, data in enumerate(_unpacked(batch.column(1), batch.column(2))):
+            at = slice(upto[row], upto[row + 1])
+            _, a, b = _merged(np.zeros(len(start[at]), np.int64), start[at], end[at])
+            spans.append([{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist(), strict=True)])
+            kept.append(b"".join(data[x:y].tobytes() for x, y in zip(np.r_[0, b], np.r_[a, len(data)], strict=True)))
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _by_row(of: DataFrame, name: str, *columns: str) -> DataFrame:
-    """One row a document with an array of its items, to be broadcast if all of them are few bytes."""
-    packed = stored(of.groupBy("_row").agg(F.collect_list(F.struct(*columns)).alias(name)), name)
-    held = packed.agg(F.sum(64 + 16 * len(columns) * F.size(name))).first()[0] or 0
-    return F.broadcast(packed) if held <= BROADCAST_BYTES else packed
+def _by(of: DataFrame, keys: tuple[str, ...], name: str, *columns: str) -> DataFrame:
+    """One row for each value of the keys, under names with a line before them, with an array of its items."""
+    return of.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.collect_list(F.struct(*columns)).alias(name))
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -191,22 +217,28 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         sizes.insert(0, sizes[0] * FANOUT)
     if wide > 1:
         sizes.insert(0, wide)
-    found, rows = None, texts.select("_row", "text")
+    found, rows = None, texts.select("_row", F.lit(0).cast("long").alias("at"), "text")
     for size in sizes:
         digits = stored(rows.mapInArrow(_digits(window, gram, size), ITEM), "digits")
         items = digits.where("core is not null")
         cores = items.groupBy(F.col("core").alias("c")).agg(F.sum("n").alias("m"), (F.min("hull") != F.max("hull")).alias("mixed")).where("m > 1")
         shared = stored(items.join(cores, F.col("core") == F.col("c")).drop("c", "m"), "shared")
         mixed = shared.where("mixed")
-        classes = stored(mixed.groupBy("core", "hull").agg(F.sum("n").alias("m"), F.min(F.struct("_row", "p", "lo", "hi")).alias("item")), "classes")
+        classes = stored(mixed.groupBy("core", "hull").agg(F.sum("n").alias("m"), F.min(F.struct("_row", "at", "p", "lo", "hi")).alias("item")), "classes")
         again = classes.where("m > 1").select(F.col("core").alias("c"), F.col("hull").alias("h"))
         done = shared.where("not mixed").select(*items.columns).unionByName(mixed.join(again, (F.col("core") == F.col("c")) & (F.col("hull") == F.col("h")), "left_semi").select(*items.columns))
         spans = digits.where("core is null").select("_row", F.col("p").alias("start"), (F.col("p") + F.col("n")).alias("end"))
         spans = spans.unionByName(done.select("_row", (F.col("p") - F.col("hi")).alias("start"), (F.col("p") - F.col("lo") + window).alias("end")))
         found = spans if found is None else found.unionByName(spans)
-        if size > 1:
-            open_ = _by_row(classes.select("item.*"), "items", "p", "lo", "hi").withColumnRenamed("_row", "_of")
-            rows = texts.join(open_, F.col("_row") == F.col("_of")).select("_row", "text", "items")
+        open_ = classes.select("item.*")
+        if size == wide > 1:
+            packed = texts.select("_row", "text").mapInArrow(_packed, "_row long, packed binary, n_bytes long")
+            joined = packed.join(_by(open_, ("_row",), "items", "at", "p", "lo", "hi"), F.col("_row") == F.col("__row"))
+            cuts = stored(joined.select("_row", "packed", "n_bytes", "items").mapInArrow(_cut_out(window), "_row long, at long, text binary, items array<struct<p:long,lo:int,hi:int>>"), "cuts")
+            rows = cuts
+        elif size > 1:
+            given = _by(open_, ("_row", "at"), "items", "p", "lo", "hi")
+            rows = cuts.drop("items").join(given, (F.col("_row") == F.col("__row")) & (F.col("at") == F.col("_at"))).select("_row", "at", "text", "items")
     return found
 
 
@@ -223,8 +255,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         texts = texts.withColumn("_row", F.col("doc_id"))
     else:  # numbers are stored with the rows, so that they stay the same when a task runs again
         texts = stored(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
-    spans = _by_row(repeated_spans(texts, window, gram), "spans", "start", "end").withColumnRenamed("_row", "_of")
-    return texts.join(spans, F.col("_row") == F.col("_of"), "left").select("doc_id", "text", "spans").mapInArrow(_without, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    spans = _by(repeated_spans(texts, window, gram), ("_row",), "spans", "start", "end")
+    packed = texts.select("doc_id", "_row", "text").mapInArrow(_packed, "doc_id long, _row long, packed binary, n_bytes long")
+    joined = packed.join(spans, F.col("_row") == F.col("__row"), "left")
+    return joined.select("doc_id", "packed", "n_bytes", "spans").mapInArrow(_without, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:

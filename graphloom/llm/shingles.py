@@ -49,10 +49,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of consecutive rows of about SLICE_BYTES; nulls count as empty."""
+    """(first row, end row, bytes, offsets) of consecutive rows of about SLICE_BYTES, of texts or of bytes; nulls count
+    as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()), "")
     _, at, data = column.buffers()
     offsets = np.frombuffer(at, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

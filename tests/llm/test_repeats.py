@@ -68,7 +68,7 @@ def test_windows_that_are_just_long_enough(spark):
     assert got(spark, rows, 400, 100) == brute(rows, 400)
 
 
-def test_parts_of_long_texts(spark, monkeypatch):
+def test_parts_of_long_texts(spark):
     """A repeat across the ends of parts, a long run of one character, and one long text twice with other beginnings."""
     rnd = random.Random(4)
     long_text = "".join(rnd.choice("abcdefghij ") for _ in range(700_000))
@@ -84,12 +84,6 @@ def test_rows_without_id_and_shared_ids(spark):
     assert got(spark, rows, 400, 100) == brute(rows, 400)
 
 
-def test_joins_beyond_the_broadcast_bound(spark, monkeypatch):
-    monkeypatch.setattr(R, "BROADCAST_BYTES", 0)
-    rows = list(enumerate(corpus(9)))
-    assert got(spark, rows, 60, 20) == brute(rows, 60)
-
-
 def test_empty(spark):
     assert got(spark, [], 400, 100) == []
     out = R.digest(spark.createDataFrame([(1, None)], "doc_id long, text string")).first()
