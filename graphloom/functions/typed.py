@@ -40,6 +40,12 @@ def quarantine(df: DataFrame, source: str, target: str, converted: Column, reaso
     return tried.where(~bad), tried.where(bad).drop(target).withColumn("reason", F.lit(reason))
 
 
+def first_refusal(rules: dict[str, tuple[Column, Column]]) -> Column:
+    """The first reason, of rules {reason: (source, converted)}, why a row is refused; null if every source that isn't
+    null converts."""
+    return F.coalesce(*(F.when(source.isNotNull() & converted.isNull(), F.lit(reason)) for reason, (source, converted) in rules.items()))
+
+
 def strict(source: Column, converted: Column, reason: str) -> Column:
     """The converted value, or an error that names the reason and the value."""
     failed = F.raise_error(F.concat(F.lit(f"{reason}: "), source.cast("string")))
@@ -189,5 +195,12 @@ def require_depth(df: DataFrame, most: int = MOST_DEPTH) -> DataFrame:
     return df
 
 
+def nested_within(text: Column, most: int = MOST_DEPTH) -> Column:
+    """The text of a nested list or map if its brackets open no deeper than `most`, else null."""
+    step = lambda acc, c: F.struct((acc["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)).alias("now"), F.greatest(acc["most"], acc["now"] + F.when(c.isin("[", "{"), 1).otherwise(0)).alias("most"))
+    deepest = F.aggregate(F.split(text, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+    return F.when(deepest <= most, text)
+
+
 def null_of(kind: str) -> Column:
     return F.lit(None).cast(kind)

@@ -10,39 +10,64 @@ from pyspark.sql import functions as F
 from graphloom.sources.checkpoints import cut
 
 
+def arriving(edges: DataFrame, ends: DataFrame, max_hops: int) -> list[DataFrame]:
+    """For each number of hops from 0 to max_hops, the nodes (_node) from which that many lead to one of ends."""
+    e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d")).distinct()
+    out = [cut(ends.select(F.col(ends.columns[0]).alias("_node")).distinct())]
+    for _ in range(max_hops):
+        out.append(cut(e.join(out[-1], F.col("_d") == F.col("_node"), "left_semi").select(F.col("_s").alias("_node")).distinct()))
+    return out
+
+
+def steps(edges: DataFrame, min_hops: int, max_hops: int, mode: str = "walk", rel_id: str | None = None, starts: DataFrame | None = None, ends: DataFrame | None = None) -> list[DataFrame]:
+    """Paths (src, dst, nodes, rels) of 1, 2, ... max_hops relationships, each step from the one before. With ends, a
+    step keeps only paths from whose last node enough further hops lead to an end, or that are there."""
+    e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"), (F.col(rel_id) if rel_id else F.struct(*edges.columns)).alias("_r"))
+    first = e if starts is None else e.join(starts.select(F.col(starts.columns[0]).alias("_start")), F.col("_s") == F.col("_start"), "left_semi")
+    if mode == "acyclic":
+        first = first.where("_s <> _d")
+    by_hops = arriving(edges, ends, max_hops - 1) if ends is not None else None
+
+    def on_the_way(paths: DataFrame, hops: int) -> DataFrame:
+        if by_hops is None:
+            return paths
+        left = by_hops[max(0, min_hops - hops) : max_hops - hops + 1]
+        good = left[0]
+        for x in left[1:]:
+            good = good.unionByName(x)
+        return paths.join(good, F.col("dst") == F.col("_node"), "left_semi")
+
+    out = [on_the_way(first.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), F.array("_s", "_d").alias("nodes"), F.array("_r").alias("rels")), 1)]
+    for hops in range(2, max_hops + 1):
+        step = out[-1].join(e, F.col("dst") == F.col("_s"))
+        if mode == "trail":
+            step = step.where(~F.array_contains("rels", F.col("_r")))
+        elif mode == "acyclic":
+            step = step.where(~F.array_contains("nodes", F.col("_d")))
+        out.append(on_the_way(step.select("src", F.col("_d").alias("dst"), F.concat("nodes", F.array("_d")).alias("nodes"), F.concat("rels", F.array("_r")).alias("rels")), hops))
+    return out
+
+
 def var_paths(edges: DataFrame, min_hops: int, max_hops: int, mode: str = "walk", rel_id: str | None = None, starts: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
     """(src, dst, hops, nodes, rels) of all paths of min_hops to max_hops relationships of edges(src, dst, …).
 
     nodes has hops + 1 keys and rels hops ids, in order; without rel_id, a relationship's id is the struct of its
     columns. mode "walk" allows repeats, "trail" no relationship twice, "acyclic" no node twice. starts and ends are
-    one-column tables of the keys allowed at either end: starts filter before the first join, ends after the last.
+    one-column tables of the keys allowed at either end: starts filter before the first join; ends are followed back
+    first, and each step keeps what can still arrive, so a hub costs what leads through it.
     """
     if not 1 <= min_hops <= max_hops:
         raise ValueError("1 <= min_hops <= max_hops is required")
     if mode not in ("walk", "trail", "acyclic"):
         raise ValueError(f"unknown mode {mode}")
-    e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"), (F.col(rel_id) if rel_id else F.struct(*edges.columns)).alias("_r"))
-    first = e if starts is None else e.join(starts.select(F.col(starts.columns[0]).alias("_start")), F.col("_s") == F.col("_start"), "left_semi")
-    if mode == "acyclic":
-        first = first.where("_s <> _d")
-    frontier = first.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), F.array("_s", "_d").alias("nodes"), F.array("_r").alias("rels"))
-    found = []
-    for hops in range(1, max_hops + 1):
-        if hops > 1:
-            step = frontier.join(e, F.col("dst") == F.col("_s"))
-            if mode == "trail":
-                step = step.where(~F.array_contains("rels", F.col("_r")))
-            elif mode == "acyclic":
-                step = step.where(~F.array_contains("nodes", F.col("_d")))
-            frontier = step.select("src", F.col("_d").alias("dst"), F.concat("nodes", F.array("_d")).alias("nodes"), F.concat("rels", F.array("_r")).alias("rels"))
+    found = None
+    for hops, paths in enumerate(steps(edges, min_hops, max_hops, mode, rel_id, starts, ends), 1):
         if hops >= min_hops:
-            found.append(frontier.select("src", "dst", F.lit(hops).alias("hops"), "nodes", "rels"))
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
+            own = paths.select("src", "dst", F.lit(hops).alias("hops"), "nodes", "rels")
+            found = own if found is None else found.unionByName(own)
     if ends is not None:
-        out = out.join(ends.select(F.col(ends.columns[0]).alias("_end")), F.col("dst") == F.col("_end"), "left_semi")
-    return out
+        found = found.join(ends.select(F.col(ends.columns[0]).alias("_end")), F.col("dst") == F.col("_end"), "left_semi")
+    return found
 
 
 def with_properties(paths: DataFrame, nodes: DataFrame, key: str, *properties: str) -> DataFrame:

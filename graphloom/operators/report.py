@@ -2,24 +2,78 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.sources.checkpoints import cut
+
 SHARES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
-def latency_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, n, p50, p95, p99, max, mean; a share p is the sample at index min(n - 1, floor(n * p)) in sorted order.
+#: Parts of a range, parts of an octave in the first round, and groups up to which their ranges are broadcast.
+PARTS, OCTAVE_PARTS, BROADCAST_GROUPS = 4096, 16, 100_000
+
+
+def _octave(v: Column) -> Column:
+    """A whole number that never falls as v grows, OCTAVE_PARTS to an octave: some 70,000 for all doubles."""
+    part = lambda x: F.floor((F.log2(x) + 1100) * OCTAVE_PARTS)
+    return F.when(v > 0, part(v)).when(v < 0, -part(-v)).otherwise(F.lit(0).cast("long"))
+
+
+def _part(v: Column, lo: Column, hi: Column) -> Column:
+    """The part of lo to hi that v lies in; lo and hi never lie in one part."""
+    wide = hi / 2 - lo / 2 > 1e307
+    return F.floor(F.when(wide, (v / 4 - lo / 4) / (hi / 4 - lo / 4)).otherwise((v - lo) / (hi - lo)) * PARTS)
+
+
+def _parts() -> list[Column]:
+    v = F.col("_v")
+    return [F.count(v).alias("c"), F.min(v).alias("a"), F.max(v).alias("b"), F.sum(v).alias("s")]
 
-    Nulls are no samples; a group of nulls alone has n = 0 and zeros. Values are counted by distinct value first, and
-    ranks run over those counts, so a group is as long as its distinct values.
+
+def _holding(parts: Column, place: Column) -> Column:
+    """Of sorted parts, the one that holds a place: struct(before, a, b)."""
+    step = lambda acc, x: F.struct((acc["seen"] + x["c"]).alias("seen"), F.coalesce(acc["got"], F.when(acc["seen"] + x["c"] > place, F.struct(acc["seen"].alias("before"), x["a"].alias("a"), x["b"].alias("b")))).alias("got"))
+    none = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("struct<before:bigint,a:double,b:double>").alias("got"))
+    return F.aggregate(parts, none, step)["got"]
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys, n, a column for each share, max, mean; a share p is the sample at index min(n - 1, floor(n * p)) in order.
+
+    No group is sorted or held: its samples are counted by parts of their range, with map-side combine, and each round
+    goes on with the one part that holds a share's sample, until that part has one value. The first parts are by
+    octaves and the later ones of equal width, so there are seven rounds at most, whatever the values; a range has PARTS
+    parts at most, and those are all that is ever gathered. Nulls and NaN are no samples: n may be 0.
     """
-    counts = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys)
-    seen = F.when(F.col("_v").isNull(), 0).otherwise(F.col("_c"))
-    ranked = counts.withColumn("_c", seen).withColumn("_n", F.sum("_c").over(w)).withColumn("_upto", F.sum("_c").over(w.orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)))
-    picks = [F.min(F.when((F.col("_upto") > F.least(F.col("_n") - 1, F.floor(F.col("_n") * F.lit(p)))) & (F.col("_c") > 0), F.col("_v"))).alias(k) for k, p in SHARES.items()]
-    out = ranked.groupBy(*keys).agg(F.first("_n").alias("n"), *picks, F.max("_v").alias("max"), (F.sum(F.col("_v") * F.col("_c")) / F.sum(F.when(F.col("_c") > 0, F.col("_c")))).alias("mean"))
+    own = [f"_k{i}" for i in range(len(keys))]
+    raw = F.col(value).cast("double")
+    base = df.select(*(F.col(k).alias(o) for k, o in zip(keys, own, strict=True)), F.when(~F.isnan(raw), raw).alias("_v"))
+    entry = F.array_sort(F.collect_list(F.when(F.col("c") > 0, F.struct("a", "b", "c")))).alias("parts")
+    whole = base.withColumn("_at", _octave(F.col("_v"))).groupBy(*own, "_at").agg(*_parts())
+    whole = whole.groupBy(*own).agg(F.sum("c").alias("n"), F.max("b").alias("max"), (F.sum("s") / F.sum(F.when(F.col("c") > 0, F.col("c")))).alias("mean"), entry)
+    each = whole.withColumn("share", F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.lit(p).alias("p")) for k, p in shares.items()))))
+    each = each.withColumn("place", F.least(F.col("n") - 1, F.floor(F.col("n") * F.col("share.p")))).withColumn("at", _holding(F.col("parts"), F.col("place")))
+    state = cut(each.select(*own, "n", "max", "mean", F.col("share.name").alias("name"), (F.col("place") - F.col("at.before")).alias("place"), F.col("at.a").alias("lo"), F.col("at.b").alias("hi")))
+    many = state.count() > BROADCAST_GROUPS
+    named = [F.col(k).alias(f"_of{k}") for k in own]
+    alike = F.lit(True)
+    for k in own:
+        alike = alike & F.col(k).eqNullSafe(F.col(f"_of{k}"))
+    while not state.where("lo < hi").isEmpty():
+        ranges = state.where("lo < hi").select(*named, "lo", "hi").distinct()
+        inside = base.join(ranges if many else F.broadcast(ranges), alike & (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        counted = inside.withColumn("_at", _part(F.col("_v"), F.col("lo"), F.col("hi"))).groupBy(*own, "lo", "hi", "_at").agg(*_parts()).groupBy(*named, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")).agg(entry)
+        on = state.join(counted, alike & (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi")), "left").withColumn("at", _holding(F.col("parts"), F.col("place")))
+        found = F.col("at").isNotNull()
+        state = cut(on.select(*own, "n", "max", "mean", "name", F.when(found, F.col("place") - F.col("at.before")).otherwise(F.col("place")).alias("place"), *(F.when(found, F.col(f"at.{x}")).otherwise(F.col(y)).alias(y) for x, y in (("a", "lo"), ("b", "hi")))))
+    out = state.groupBy(*own).agg(*(F.first(c).alias(c) for c in ("n", "max", "mean")), *(F.max(F.when(F.col("name") == k, F.col("lo"))).alias(k) for k in shares))
+    return out.select(*(F.col(o).alias(k) for o, k in zip(own, keys, strict=True)), "n", *shares, "max", "mean")
+
+
+def latency_summary(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, n, p50, p95, p99, max, mean by exact_quantiles; a group without samples has n = 0 and zeros."""
+    out = exact_quantiles(df, keys, value, SHARES)
     return out.select(*keys, "n", *(F.coalesce(k, F.lit(0.0)).alias(k) for k in (*SHARES, "max", "mean")))
 
 

@@ -18,7 +18,8 @@ from graphloom.operators import paths as G
 from graphloom.operators import report as R
 from graphloom.operators import search as N
 from graphloom.sources.checkpoints import shared_dir
-from graphloom.sources.graph import Graph, driver_graph, internal_ids, read_csv
+from graphloom.sources.graph import SCHEMAS, Graph, driver_graph, internal_ids, read_csv, read_results, write_results
+from graphloom.streaming.upserts import AttributeTable, run_upserts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -301,6 +302,14 @@ _WALKS = f"""with recursive k as materialized (select * from {_KNOWS}), p as (
 )"""
 
 
+@on_graph(f"{_WALKS} select src, dst, hops, array_to_string(nodes, '>') as path, array_to_string(rels, ',') as since from p where hops >= 2 and src in (select c_custkey from customer where c_nationkey = 3) and dst in (select c_custkey from customer where c_nationkey = 7)")
+def var_path_pinned(g: Graph) -> DataFrame:
+    """Paths of two and three relationships from the customers of one nation to those of another."""
+    at = lambda nation: M.scan(g, "Customer", c_nationkey=nation).select("c_custkey")
+    p = G.var_paths(g.rel("Knows"), 2, 3, rel_id="since", starts=at(3), ends=at(7))
+    return p.select("src", "dst", "hops", F.array_join("nodes", ">").alias("path"), F.array_join("rels", ",").alias("since"))
+
+
 @on_graph(f"{_WALKS} select src, dst, hops, array_to_string(nodes, '>') as path, len(rels) as n_rels from p")
 def var_path(g: Graph) -> DataFrame:
     return G.var_paths(g.rel("Knows"), 1, 3, rel_id="since").select("src", "dst", "hops", F.array_join("nodes", ">").alias("path"), F.size("rels").cast("long").alias("n_rels"))
@@ -409,6 +418,26 @@ def rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rates(spark, sf_dir)
 
 
+@query(f"select model, size, n, writers, rate from {_RATES}")
+def results_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements of each model, of which those of two models are written twice, the first time with other figures."""
+    at, rates = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}", _rates(spark, sf_dir)
+    early = rates.where(F.col("model").isin("click", "view"))
+    write_results(early.withColumn("rate", F.lit(-1.0)), at)
+    write_results(rates, at)
+    write_results(early, at)
+    return spark.read.schema("model string, size int, n bigint, writers bigint, rate double").parquet(at).select("model", "size", "n", "writers", "rate")
+
+
+@query(f"select model, size, rate from {_RATES}")
+def nested_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document a model with all its results in it, read back as one row a result."""
+    at = f"{shared_dir(spark)}/nested-{uuid.uuid4().hex}"
+    documents = _rates(spark, sf_dir).groupBy("model").agg(F.collect_list(F.struct("model", "size", "rate")).alias("results"))
+    documents.withColumnRenamed("model", "document").write.partitionBy("document").json(at)
+    return read_results(spark, at).select("model", F.col("size").cast("int").alias("size"), "rate")
+
+
 _SIZES = (1, 10, 100, 1000)
 _PIVOT = "(select model, " + ", ".join(f"coalesce(max(rate) filter (where size = {k}), 0) as rate_{k}" for k in _SIZES) + f" from {_RATES} group by model)"
 
@@ -678,6 +707,25 @@ def union_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("event_id", "v.tag", "v.txt", "v.num")
 
 
+@query("""select o_orderkey, case o_orderkey % 4
+  when 0 then case when o_orderkey % 3 = 0 then 'accessor' else 'accepted' end
+  when 1 then case when length(o_orderkey::varchar) + 20 + o_orderkey % 30 > 38 then 'digits' else 'accepted' end
+  when 2 then case when 50 + o_orderkey % 30 > 64 then 'depth' else 'accepted' end
+  else case when o_orderkey % 3 = 0 then 'cast' else 'accepted' end end as verdict from orders""")
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's value, accepted or with the reason why it is refused: a union read as a member that it hasn't, a
+    decimal of more than 38 digits, a list nested deeper than 64, a text that isn't the number that it is cast to."""
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (key % 4).alias("kind"))
+    text, bad = key.cast("string"), key % 3 == 0
+    many = (key % 30).cast("int")
+    own = lambda k, x: F.when(F.col("kind") == k, x)
+    union = F.when(bad, V.union_value("txt", text, _MEMBERS)).otherwise(V.union_value("num", key, _MEMBERS))
+    values = orders.select("o_orderkey", own(0, union).alias("u"), own(1, F.concat(text, F.repeat(F.lit("0"), 20 + many))).alias("digits"), own(2, F.concat(F.repeat(F.lit("["), 50 + many), F.repeat(F.lit("]"), 50 + many))).alias("list"), own(3, F.when(bad, F.concat(text, F.lit("x"))).otherwise(text)).alias("number"))
+    rules = {"accessor": (F.col("u"), V.union_member(F.col("u"), "num")), "digits": (F.col("digits"), V.decimal_size(F.col("digits"))), "depth": (F.col("list"), V.nested_within(F.col("list"))), "cast": (F.col("number"), V.integer(F.col("number"), "int64"))}
+    return values.select("o_orderkey", F.coalesce(V.first_refusal(rules), F.lit("accepted")).alias("verdict"))
+
+
 # --- mutation log --------------------------------------------------------------------------------------------------
 
 
@@ -687,6 +735,21 @@ def lww_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.latest(log, ["user_id", "event_type"], "value", ["ts_us", "event_id"])
 
 
+@query("select user_id, event_type, value, epoch_us(ts) as ts_us, event_id from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as k from events) where k = 1")
+def lww_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same last writes by a stream in six micro-batches: three, then the stream is started again from its
+    checkpoint with what came in meanwhile."""
+    at, order = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", ["ts_us", "event_id"]
+    schema = "user_id bigint, event_type string, value double, ts_us bigint, event_id bigint"
+    events = spark.read.schema(SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet")
+    log = events.select("user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"), "event_id", F.pmod(F.xxhash64("event_id"), F.lit(2)).alias("part"))
+    to = AttributeTable(spark, f"{at}/table", schema, ["user_id", "event_type"], "value", order)
+    for part in (0, 1):
+        log.where(F.col("part") == part).drop("part").repartition(3).write.mode("append").parquet(f"{at}/log")
+        run_upserts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/log"), to, f"{at}/checkpoint").awaitTermination()
+    return to.read()
+
+
 # --- search --------------------------------------------------------------------------------------------------------
 
 

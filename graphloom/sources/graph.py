@@ -115,9 +115,10 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path).select(F.explode("results").alias("r")).select("r.*")
 
 
-def append_results(df: DataFrame, path: str) -> None:
-    """Adds measurements, in folders by model and size, as each model ends."""
-    df.write.mode("append").partitionBy("model", "size").parquet(path)
+def write_results(df: DataFrame, path: str) -> None:
+    """Writes measurements, in folders by model and size, as each model ends. A model that runs again replaces what it
+    measured before at the same sizes; other folders stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "size").parquet(path)
 
 
 def row_stream(df: DataFrame):

@@ -1,8 +1,7 @@
 """A mutation log applied to an attribute table in micro-batches, last write wins.
 
-A batch is one Parquet folder that holds its own last writes; a reader takes the last writes of all finished folders,
-so it sees a batch whole or not at all. Every COMPACT batches the state so far is written as one folder, from which
-readers then start, so a batch costs its own rows and now and then one rewrite.
+A batch is one Parquet folder that holds its own last writes. Its number is appended to the list of finished batches
+only after that, and readers start from the list, so they see a batch whole or not at all, and a replay changes nothing.
 """
 
 from __future__ import annotations
@@ -11,53 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graphloom.operators.mutate import latest
 
-COMPACT = 16
 
+class AttributeTable:
+    """Last writes under `at`, any folder that Spark can write."""
 
-class VersionedTable:
-    """Attribute states under `at`, any folder that Spark can write."""
+    def __init__(self, spark: SparkSession, at: str, schema: str, keys: list[str], value: str, order: list[str]):
+        self.spark, self.at, self.schema, self.keys, self.value, self.order = spark, at.rstrip("/"), schema, keys, value, order
+        self._finish([])
 
-    def __init__(self, spark: SparkSession, at: str, keys: list[str], value: str, order: list[str], compact: int = COMPACT):
-        self.spark, self.at, self.keys, self.value, self.order, self.compact = spark, at.rstrip("/"), keys, value, order, compact
+    def _finish(self, batches: list[int]) -> None:
+        self.spark.createDataFrame([(b,) for b in batches], "batch long").coalesce(1).write.mode("append").parquet(f"{self.at}/finished")
 
-    def finished(self, kind: str) -> list[int]:
-        """Numbers of the folders of a kind (state, batch) that Spark has finished."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{kind}=*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(int(x.getPath().getParent().getName().split("=")[1]) for x in found or [])
+    def finished(self) -> list[int]:
+        """Numbers of the batches that are in the table, one small row each."""
+        return sorted({r["batch"] for r in self.spark.read.schema("batch long").parquet(f"{self.at}/finished").collect()})
 
-    def folders(self) -> list[str]:
-        """What a reader needs: the newest state, and the batches after it."""
-        state = self.finished("state")[-1:]
-        return [f"{self.at}/state={n}" for n in state] + [f"{self.at}/batch={n}" for n in self.finished("batch") if not state or n > state[0]]
+    def read(self) -> DataFrame:
+        """The state after the last finished batch. It stays as it is while further batches come in."""
+        folders = [f"{self.at}/batch={b}" for b in self.finished()]
+        rows = self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
+        return latest(rows, self.keys, self.value, self.order)
 
-    def _columns(self) -> list[str]:
-        return [*self.keys, self.value, *self.order]
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Adds a batch; for foreachBatch."""
+        if batch_id not in self.finished():
+            latest(batch, self.keys, self.value, self.order).write.mode("overwrite").parquet(f"{self.at}/batch={batch_id}")
+            self._finish([batch_id])
 
-    def read(self) -> DataFrame | None:
-        """The state after the last finished batch, or None before the first."""
-        folders = self.folders()
-        return latest(self.spark.read.parquet(*folders).select(*self._columns()), self.keys, self.value, self.order) if folders else None
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Adds a batch. One that has been applied changes nothing, so a replay is safe."""
-        if batch_id <= max([-1, *self.finished("state"), *self.finished("batch")]):
-            return
-        latest(batch.select(*self._columns()), self.keys, self.value, self.order).write.mode("overwrite").parquet(f"{self.at}/batch={batch_id}")
-        if len(self.folders()) > self.compact:
-            self.read().write.mode("overwrite").parquet(f"{self.at}/state={batch_id}")
-            self._clear()
-
-    def _clear(self) -> None:
-        """Removes what readers no longer start from; the state before the newest stays, for those that opened it."""
-        states = self.finished("state")
-        if len(states) > 1:
-            old = [("state", n) for n in states[:-2]] + [("batch", n) for n in self.finished("batch") if n <= states[-2]]
-            for kind, n in old:
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{kind}={n}")
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def run_upserts(log: DataFrame, to: VersionedTable, checkpoint: str):
-    """A started streaming query that applies a log to the table, all that there is by now; batches carry their id."""
+def run_upserts(log: DataFrame, to: AttributeTable, checkpoint: str):
+    """A started streaming query that applies a log to the table, all that there is by now; a later one with the same
+    checkpoint goes on from there."""
     return log.writeStream.foreachBatch(to.apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

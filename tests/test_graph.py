@@ -97,9 +97,10 @@ def test_csv_and_json_sources(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"seed": 1, "results": [{"model": "map", "size": 10, "notes": ["a", "b"]}]}))
     df = S.read_results(spark, str(tmp_path / "r.json"))
     assert df.first()["model"] == "map"
-    S.append_results(df, str(tmp_path / "out"))
-    S.append_results(df, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    S.write_results(df, str(tmp_path / "out"))
+    S.write_results(df.withColumn("size", F.lit(100)), str(tmp_path / "out"))
+    S.write_results(df, str(tmp_path / "out"))
+    assert sorted(r["size"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [10, 100]
 
 
 def test_rows_stream_and_scripts(spark):

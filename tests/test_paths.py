@@ -85,3 +85,26 @@ def test_depths_of_a_long_chain_and_of_what_is_no_forest(spark):
     for bad in ([(0, 1), (0, 2)], [(0, 1), (1, 2), (2, 0)]):
         with pytest.raises(ValueError):
             G.depths(nodes, "k", spark.createDataFrame(bad, "src long, dst long")).count()
+
+
+@pytest.mark.parametrize("mode", ["walk", "trail", "acyclic"])
+def test_both_ends_pinned(spark, mode):
+    """The same paths as all of them between these ends."""
+    for seed in (1, 2, 3):
+        rnd = random.Random(seed)
+        edges = [(rnd.randrange(9), rnd.randrange(9), k) for k in range(20)]
+        df = spark.createDataFrame(edges, "src long, dst long, rid long")
+        starts, ends = (spark.createDataFrame([(k,) for k in rnd.sample(range(9), n)], "id long") for n in (3, 2))
+        low = rnd.choice((1, 2, 3))
+        got = Counter((tuple(r["nodes"]), tuple(r["rels"])) for r in G.var_paths(df, low, 3, mode, "rid", starts, ends).collect())
+        at, to = ({r["id"] for r in x.collect()} for x in (starts, ends))
+        assert got == Counter({k: n for k, n in enumerate_paths(edges, low, 3, mode).items() if k[0][0] in at and k[0][-1] in to})
+
+
+def test_a_hub_costs_what_leads_through_it(spark):
+    """0 -> hub -> 2,000 others, each with ten more; one of them leads to the end. Steps hold the prefixes of answers."""
+    edges = [(0, 1)] + [(1, k) for k in range(2, 2002)] + [(k, 10_000 + 10 * k + j) for k in range(2, 2002) for j in range(10)] + [(77, 5)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    one = lambda k: spark.createDataFrame([(k,)], "id long")
+    assert [x.count() for x in G.steps(df, 3, 3, starts=one(0), ends=one(5))] == [1, 1, 1]
+    assert G.var_paths(df, 3, 3, starts=one(0), ends=one(5)).count() == 1

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,34 @@ def test_latency_summary(spark):
     assert got == {"a": (4, 3.0, 4.0, 4.0, 4.0, 2.5), "b": (0, 0.0, 0.0, 0.0, 0.0, 0.0), "c": (1, 7.0, 7.0, 7.0, 7.0, 7.0)}
 
 
+def test_quantiles_of_any_doubles(spark, monkeypatch):
+    """Against sorting: ties, all magnitudes, signs, infinities, neighbours, nulls, NaN, a null key; few parts a round."""
+    rnd = random.Random(12)
+    inf = float("inf")
+    groups = {
+        "ties": [rnd.choice([1.0, 2.0, 2.5]) for _ in range(500)],
+        "wide": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300) for _ in range(400)],
+        "far": [5e-324 * k for k in range(60)] + [1.7e308] * 30 + [-1.7e308],
+        "near": [1 + 2**-52 * rnd.randrange(300) for _ in range(700)],
+        "flat": [rnd.random() for _ in range(900)],
+        "odd": [inf, -inf, 0.0, -0.0, 3.0, None, float("nan")],
+        None: [float(k) for k in range(101)],
+        "none": [None, float("nan")],
+    }
+    rows = [(k, v) for k, vs in groups.items() for v in vs]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, v double")
+    for parts in (4096, 5):
+        monkeypatch.setattr(R, "PARTS", parts)
+        got = {r["g"]: r for r in R.exact_quantiles(df, ["g"], "v", R.SHARES | {"p0": 0.0, "p100": 1.0}).collect()}
+        assert set(got) == set(groups)
+        for k, vs in groups.items():
+            good = sorted(v for v in vs if v is not None and v == v)
+            assert got[k]["n"] == len(good)
+            for name, share in (R.SHARES | {"p0": 0.0, "p100": 1.0}).items():
+                assert got[k][name] == (good[min(len(good) - 1, int(len(good) * share))] if good else None), (k, name)
+
+
 def test_report_rules(spark):
     row = spark.range(1).select(
         R.verdict(F.lit(2.0), F.lit(2.0), F.lit(True), F.lit(1)), R.verdict(F.lit(9.9), F.lit(10.0), F.lit(False), F.lit(1)), R.verdict(F.lit(0.0), F.lit(1.0), F.lit(True), F.lit(0)),
