@@ -117,6 +117,87 @@ def reachable(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
             seen = cut(seen)
 
 
+#: Steps of a spread that one job takes.
+SPREAD_STEPS = 4
+
+
+def _spread(values: DataFrame, edges: DataFrame) -> DataFrame:
+    """values(node, value) after each node has the least value of all nodes that reach it along edges(a, b)."""
+    while True:
+        step = values.withColumn("was", F.col("value"))
+        for _ in range(SPREAD_STEPS):
+            came = edges.join(step.select(F.col("node").alias("_n"), F.col("value").alias("_v")), F.col("a") == F.col("_n")).groupBy(F.col("b").alias("_b")).agg(F.min("_v").alias("_came"))
+            step = step.join(came, F.col("node") == F.col("_b"), "left").select("node", F.least("value", "_came").alias("value"), "was")
+        step = cut(step)
+        values = step.select("node", "value")
+        if step.where("not value <=> was").isEmpty():
+            return values
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """(node, component, size) of all nodes that edges(src, dst) name; component is the least node that the node reaches
+    and that reaches it, itself included. Rows with a null end count for nothing.
+
+    Each round drops nodes that nothing enters or leaves, which are alone; then every node takes the least node that reaches
+    it, and those that lead back to that node are its component. Edges between nodes that took different ones go, as no
+    cycle crosses them. Aggregates and joins of narrow rows only; rounds grow with the longest way, not with the rows.
+    """
+    named = edges.where("src is not null and dst is not null").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()
+    nodes = cut(named.select(F.col("a").alias("node")).unionByName(named.select(F.col("b").alias("node"))).distinct())
+    left, found = cut(named.where("a <> b")), None
+    while True:
+        while True:  # nodes that are entered and left
+            inner = left.select(F.col("a").alias("_n")).intersect(left.select(F.col("b").alias("_n")))
+            kept = cut(left.join(inner, F.col("a") == F.col("_n"), "left_semi").join(inner, F.col("b") == F.col("_n"), "left_semi"))
+            same = kept.count() == left.count()
+            left = kept
+            if same:
+                break
+        if left.isEmpty():
+            break
+        own = left.select(F.col("a").alias("node")).distinct()
+        least = _spread(own.withColumn("value", F.col("node")), left)
+        x, y = (least.select(F.col("node").alias(f"_{c}"), F.col("value").alias(f"_{c}v")) for c in "ab")
+        left = cut(left.join(x, F.col("a") == F.col("_a")).join(y, F.col("b") == F.col("_b")).where("_av = _bv").select("a", "b", "_av"))
+        # back from the least node: only it starts with a value
+        back = _spread(least.select("node", F.when(F.col("node") == F.col("value"), F.col("value")).alias("value")), left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        own = cut(back.where("value is not null").select("node", F.col("value").alias("component")))
+        found = own if found is None else found.unionByName(own)
+        gone = own.select(F.col("node").alias("_n"))
+        left = cut(left.select("a", "b").join(gone, F.col("a") == F.col("_n"), "left_anti").join(gone, F.col("b") == F.col("_n"), "left_anti"))
+    if found is None:
+        return nodes.select("node", F.col("node").alias("component"), F.lit(1).cast("long").alias("size"))
+    out = nodes.join(found.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", F.coalesce("component", "node").alias("component"))
+    sizes = out.groupBy(F.col("component").alias("_c")).agg(F.count("*").alias("size"))
+    return cut(out.join(sizes, F.col("component") == F.col("_c")).drop("_c"))
+
+
+def condensed_closure(edges: DataFrame, components: DataFrame) -> DataFrame:
+    """(a, b): components of which the first one's nodes reach the second one's; one that holds a cycle reaches itself.
+    As many rows as component pairs, however many node pairs they stand for."""
+    x, y = (components.select(F.col("node").alias(f"_{c}"), F.col("component").alias(f"_{c}c")) for c in "ab")
+    named = edges.join(x, F.col("src") == F.col("_a")).join(y, F.col("dst") == F.col("_b"))
+    own = named.where("_ac = _bc").select(F.col("_ac").alias("a"), F.col("_bc").alias("b")).distinct()
+    across = reachable(named.where("_ac <> _bc").select(F.col("_ac").alias("src"), F.col("_bc").alias("dst")).distinct())
+    return own.unionByName(across.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+
+
+def reach_counts(edges: DataFrame) -> DataFrame:
+    """(node, component, n): how many nodes each node reaches by one relationship or more, cycles included, without their
+    pairs: component sizes are added up over the condensed closure."""
+    of = strong_components(edges)
+    sizes = of.select(F.col("component").alias("_c"), "size").distinct()
+    reached = condensed_closure(edges, of).join(sizes, F.col("b") == F.col("_c")).groupBy(F.col("a").alias("_a")).agg(F.sum("size").alias("n"))
+    return of.join(reached, F.col("component") == F.col("_a"), "left").select("node", "component", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def cyclic_reachable(edges: DataFrame) -> DataFrame:
+    """(src, dst): the pairs of reachable, without hops, expanded from the condensed closure at the end only."""
+    of = cut(strong_components(edges))
+    x, y = (of.select(F.col("component").alias(f"_{c}"), F.col("node").alias(c)) for c in ("src", "dst"))
+    return condensed_closure(edges, of).join(x, F.col("a") == F.col("_src")).join(y, F.col("b") == F.col("_dst")).select("src", "dst")
+
+
 def depths(nodes: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     """(node, depth): hops to the root of a containment forest, 0 for nodes without an outgoing relationship.
 

@@ -17,6 +17,7 @@ from graphloom.operators import params as B
 from graphloom.operators import paths as G
 from graphloom.operators import report as R
 from graphloom.operators import search as N
+from graphloom.operators import text_index as I
 from graphloom.sources.checkpoints import shared_dir
 from graphloom.sources.graph import SCHEMAS, Graph, driver_graph, internal_ids, read_csv, read_results, write_results
 from graphloom.streaming.upserts import AttributeTable, run_upserts
@@ -368,6 +369,14 @@ def reachability(g: Graph) -> DataFrame:
     return G.reachable(g.rel("Located")).select("src", "dst")
 
 
+@on_graph(f"""with recursive l as materialized (select distinct src, dst from {_KNOWS}), r as (select src, dst from l union select r.src, l.dst from r join l on r.dst = l.src),
+n as (select src as node from l union select dst from l), mutual as (select x.src as node, min(x.dst) as m from r x join r y on x.src = y.dst and x.dst = y.src group by x.src)
+select n.node, least(n.node, coalesce(m, n.node)) as component, count(r.dst) as n from n left join r on r.src = n.node left join mutual on mutual.node = n.node group by n.node, m""")
+def cyclic_reach(g: Graph) -> DataFrame:
+    """How many customers each customer reaches over contacts, which go round in circles."""
+    return G.reach_counts(g.rel("Knows")).select("node", "component", "n")
+
+
 @on_graph(f"{_CLOSURE} select p_partkey as node, count(r.dst)::int as depth from part left join r on r.src = p_partkey group by p_partkey")
 def tree_depth(g: Graph) -> DataFrame:
     return G.depths(g.node("Part"), "p_partkey", g.rel("Located"))
@@ -765,12 +774,37 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TERMS = ["license", "apache"]
 
 
-@query("""with w as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from documents),
+_BM25 = """with w as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from documents),
 c as (select doc_id, len(w) as n, len(list_filter(w, lambda x: x = 'license')) as t0, len(list_filter(w, lambda x: x = 'apache')) as t1 from w),
 a as (select count(*) as docs, avg(n) as mean, sum((t0 > 0)::int) as d0, sum((t1 > 0)::int) as d1 from c)
 select doc_id, round(0.0::double + ln(1 + (docs - d0 + 0.5::double) / (d0 + 0.5::double)) * t0 * 2.2::double / (t0 + 1.2::double * (0.25::double + 0.75::double * n / mean))
   + ln(1 + (docs - d1 + 0.5::double) / (d1 + 0.5::double)) * t1 * 2.2::double / (t1 + 1.2::double * (0.25::double + 0.75::double * n / mean)), 9) as score
-from c, a where t0 > 0 or t1 > 0""")
+from c, a where t0 > 0 or t1 > 0"""
+
+
+@query(_BM25)
 def text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a term, by BM25."""
     return N.bm25(table(spark, sf_dir, "documents"), _TERMS)
+
+
+def _index(spark: SparkSession, sf_dir: str) -> I.TextIndex:
+    return I.build(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
+
+
+@query(_BM25)
+def text_index_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of text_topk from the postings of an inverted index."""
+    return I.bm25(_index(spark, sf_dir), _TERMS)
+
+
+@query(f"select doc_id, score from ({_BM25}) order by score desc, doc_id limit 10")
+def text_index_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best, without the blocks of documents whose bound is below the tenth."""
+    return I.bm25(_index(spark, sf_dir), _TERMS, 10)
+
+
+@query(r"""with w as (select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents)
+select doc_id, times from (select doc_id, len(list_filter(range(1, len(w)), lambda i: w[i] = 'license' and w[i + 1] = 'version'))::bigint as times from w) where times > 0""")
+def text_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.phrase(_index(spark, sf_dir), ["license", "version"])

@@ -108,3 +108,39 @@ def test_a_hub_costs_what_leads_through_it(spark):
     one = lambda k: spark.createDataFrame([(k,)], "id long")
     assert [x.count() for x in G.steps(df, 3, 3, starts=one(0), ends=one(5))] == [1, 1, 1]
     assert G.var_paths(df, 3, 3, starts=one(0), ends=one(5)).count() == 1
+
+
+def closure(edges):
+    by, out = {}, set()
+    for a, b in edges:
+        if a is not None and b is not None:
+            by.setdefault(a, set()).add(b)
+    for a in by:
+        todo, seen = list(by[a]), set()
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += by.get(x, ())
+        out |= {(a, x) for x in seen}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_closure_of_cyclic_graphs(spark, seed):
+    rnd = random.Random(seed)
+    edges = [(rnd.randrange(25), rnd.randrange(25)) for _ in range(32)] + [(30, 31), (31, 32), (32, 30), (32, 33), (40, 40), (41, 42), (None, 1), (1, None)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    want = closure(edges)
+    nodes = {x for e in edges if None not in e for x in e}
+    got = {r["node"]: (r["component"], r["n"]) for r in G.reach_counts(df).collect()}
+    assert got == {v: (min([v] + [w for x, w in want if x == v and (w, v) in want]), sum(x == v for x, _ in want)) for v in nodes}
+    assert {tuple(r) for r in G.cyclic_reachable(df.where("src is not null and dst is not null")).collect()} == want
+
+
+def test_a_ring_is_one_pair_of_components(spark):
+    ring = spark.createDataFrame([(k, (k + 1) % 60) for k in range(60)], "src long, dst long")
+    of = G.strong_components(ring)
+    assert of.select("component", "size").distinct().collect() == [(0, 60)]
+    assert G.condensed_closure(ring, of).count() == 1
+    assert G.reach_counts(spark.createDataFrame([], "src long, dst long")).count() == 0
