@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from graphloom.operators import mutate as U
 from graphloom.sources.graph import Graph, KeyViolation
@@ -43,6 +44,21 @@ def test_all_or_nothing(spark, people):
     assert gone.node("P").count() == 1 and gone.rel("R").count() == 0
 
 
+def test_changes_are_checked_against_what_they_touch(spark, people):
+    """An untouched table isn't read at all: this one fails when it is."""
+    poison = spark.range(1).select(F.raise_error(F.lit("read")).cast("long").alias("src"), F.lit(1).cast("long").alias("dst"))
+    g = Graph(spark).add_nodes("P", people, "id").add_nodes("Q", spark.createDataFrame([(1,), (2,)], "id long"), "id").add_rels("R", spark.createDataFrame([(1, 2)], "src long, dst long"), "P", "P").add_rels("Other", poison, "Q", "Q")
+    one = lambda *rows: spark.createDataFrame(list(rows), "id long, name string")
+    edge = lambda *rows: spark.createDataFrame(list(rows), "src long, dst long")
+    gone = {"P": spark.createDataFrame([(2,)], "id long")}
+    assert U.apply_changes(g, U.Changes(nodes={"P": one((2, "again"))}, rels={"R": edge((1, 2))}, deletes=gone)).node("P").count() == 2
+    for bad in (U.Changes(nodes={"P": one((2, "taken"))}), U.Changes(nodes={"P": one((3, "x"), (3, "y"))}), U.Changes(nodes={"P": one((None, "x"))}), U.Changes(rels={"R": edge((1, 2))}, deletes=gone), U.Changes(rels={"R": edge((None, 1))})):
+        with pytest.raises(KeyViolation):
+            U.apply_changes(g, bad)
+    with pytest.raises(Exception, match="read"):
+        U.apply_changes(g, U.Changes(nodes={"P": one((3, "x"))}), whole=True)
+
+
 LOG = "o long, k string, v string, ts long, seq long"
 
 
