@@ -59,7 +59,6 @@ def test_stages(spark, folder):
 
     packed = C.best_fit_packing(spark, mixed, folder).collect()
     t = Tokenizer.from_file(public_tokenizers.path(C.VOCABULARY))
-    t.encode_special_tokens = True
     want = []
     for r in mixed.collect():
         ids = np.array([*t.encode(r["text"], add_special_tokens=False).ids, 0], "<u4")
