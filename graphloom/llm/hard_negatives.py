@@ -154,7 +154,8 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, positives: int = 5, ne
     n_rows, n_anchors = (max(1, -(-n // group_rows)) for n in (size[0], anchors.count()))
 
     def met(own: DataFrame, pick) -> DataFrame:
-        left = own.withColumn("_a", F.pmod(F.xxhash64("vec_id"), F.lit(n_anchors))).withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
+        # both sides' keys are int: cogroup deals each side by a hash of its own columns, and that of a long is another
+        left = own.withColumn("_a", F.pmod(F.xxhash64("vec_id"), F.lit(n_anchors)).cast("int")).withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
         right = rows.drop("_anchor").withColumn("_r", (F.col("_number") % n_rows).cast("int")).withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))))
         return left.groupBy("_a", "_r").cogroup(right.groupBy("_a", "_r")).applyInArrow(_meet(pick), "anchor_id long, vec_id long, score long")
 

@@ -32,8 +32,16 @@ def near(rnd, center):
     return [float(np.float32(x + rnd.gauss(0, 0.3))) for x in center]
 
 
+@pytest.fixture(params=["true", "false"])
+def coalesced(spark, request):
+    """With and without partitions put together: a table of the tests is else all in one, wherever its rows were dealt."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 @pytest.mark.parametrize("group_rows", [7, 50, 8192])
-def test_against_brute_force(spark, group_rows):
+def test_against_brute_force(spark, group_rows, coalesced):
     """Groups of rows near each other across labels, copies, ties, odd vectors and other lengths."""
     rnd = random.Random(5)
     centers = [[rnd.gauss(0, 1) for _ in range(8)] for _ in range(4)]
