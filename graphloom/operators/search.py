@@ -20,7 +20,7 @@ def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.asarray(rows.column("vec_id")), v, np.sqrt((v * v).sum(1))
 
 
-def _top_of_groups(k: int):
+def top_of_groups(k: int):
     """Of one group of queries and one of vectors: the k best of the group for each query; ties go to the least id."""
 
     def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
@@ -52,6 +52,13 @@ def _top_of_groups(k: int):
     return run
 
 
+def usable(df: DataFrame) -> DataFrame:
+    """(vec_id, embedding) of the vectors that have a direction: not null or zero, all components finite."""
+    e = F.col("embedding")
+    ok = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
+    return df.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding")).where(ok)
+
+
 def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(query_id, vec_id, score, place) of the k rows nearest to each query by cosine, itself left out.
 
@@ -60,19 +67,15 @@ def vector_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, group_rows
     meet in a task of their own; a query's best of each group are ranked at the end. Vectors must be of one length.
     """
 
-    def good(df: DataFrame) -> DataFrame:
-        e = F.col("embedding")
-        ok = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
-        return df.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding")).where(ok)
-
-    rows, wanted = good(vectors), good(queries)
+    rows, wanted = usable(vectors), usable(queries)
     n_rows, n_wanted = (max(1, -(-x.count() // group_rows)) for x in (rows, wanted))
 
     def dealt(df: DataFrame, own: str, groups: int, other: str, others: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(groups))).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        # both sides' keys must be of one type: cogroup deals each side by a hash of its own columns
+        return df.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
     left, right = dealt(wanted, "_q", n_wanted, "_v", n_rows), dealt(rows, "_v", n_rows, "_q", n_wanted)
-    met = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(_top_of_groups(k), "query_id long, vec_id long, score double")
+    met = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(top_of_groups(k), "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("place", place).where(F.col("place") <= k)
 
