@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.hubs import hub_join, known_hubs
 from graphloom.sources.graph import Graph, internal_ids
 
 
@@ -43,15 +44,23 @@ def hop(graph: Graph, rel: str, src: DataFrame | None = None, dst: DataFrame | N
     return edges.join(a, F.col(f"{names[1]}_src") == F.col(a_key)).join(b, F.col(f"{names[1]}_dst") == F.col(b_key))
 
 
-def chain(graph: Graph, start: str, rels: list[str]) -> DataFrame:
-    """Nodes of start followed along relationship types: columns n0_… to nk_… of the nodes passed."""
+def chain(graph: Graph, start: str, rels: list[str], hub_rows: int | None = None) -> DataFrame:
+    """Nodes of start followed along relationship types: columns n0_… to nk_… of the nodes passed.
+
+    With hub_rows, nodes that more relationships of a type leave or enter are hubs: what passes them is dealt over tasks,
+    by counts of each type's ends. The keys of a label and the ends that name them are then of one type.
+    """
     out = _prefixed(graph.node(start), "n0")
     at = f"n0_{graph.nodes[start].pk}"
+    entered = None
     for k, rel in enumerate(rels, 1):
         r = graph.rels[rel]
         edges = r.df.select(F.col("src").alias(f"_src{k}"), F.col("dst").alias(f"_dst{k}"))
         nodes, key = _prefixed(graph.node(r.dst_label), f"n{k}"), f"n{k}_{graph.nodes[r.dst_label].pk}"
-        out = out.join(edges, F.col(at) == F.col(f"_src{k}")).join(nodes, F.col(f"_dst{k}") == F.col(key)).drop(f"_src{k}", f"_dst{k}")
+        left = known_hubs(edges, f"_src{k}", hub_rows) if hub_rows else None
+        out = hub_join(out, edges, at, f"_src{k}", entered, left)
+        entered = known_hubs(edges, f"_dst{k}", hub_rows) if hub_rows else None
+        out = hub_join(out, nodes, f"_dst{k}", key, entered).drop(f"_src{k}", f"_dst{k}")
         at = key
     return out
 

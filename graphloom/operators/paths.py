@@ -7,6 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.hubs import HUB_ROWS, hub_join, known_hubs
 from graphloom.sources.checkpoints import cut
 
 
@@ -87,14 +88,22 @@ def path_values(paths: DataFrame, nodes: DataFrame, key: str, *properties: str)
     return out.withColumn("path", F.struct(F.col("node_values").alias("nodes"), "rels")).drop("node_values")
 
 
-def walk_counts(edges: DataFrame, max_hops: int, starts: DataFrame | None = None) -> DataFrame:
-    """(src, dst, hops, walks): how many walks join two nodes, without the walks. Rows are bounded by node pairs."""
-    e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("_d"))
+def walk_counts(edges: DataFrame, max_hops: int, starts: DataFrame | None = None, hub_rows: int = HUB_ROWS) -> DataFrame:
+    """(src, dst, hops, walks): how many walks join two nodes, without the walks. Rows are bounded by node pairs.
+
+    Parallel relationships become one row with a count before any join. Nodes that more than hub_rows of these rows leave
+    or enter are hubs, whose rows are dealt over tasks.
+    """
+    e = cut(edges.groupBy(F.col("src").alias("_s"), F.col("dst").alias("_d")).agg(F.count("*").alias("_times")))
     first = e if starts is None else e.join(starts.select(F.col(starts.columns[0]).alias("_start")), F.col("_s") == F.col("_start"), "left_semi")
-    frontier = first.groupBy(F.col("_s").alias("src"), F.col("_d").alias("dst")).agg(F.count("*").alias("walks"))
+    frontier = first.select(F.col("_s").alias("src"), F.col("_d").alias("dst"), F.col("_times").alias("walks"))
+    left_by = known_hubs(e, "_s", hub_rows) if max_hops > 1 else None
     out = frontier.withColumn("hops", F.lit(1))
     for hops in range(2, max_hops + 1):
-        frontier = frontier.join(e, F.col("dst") == F.col("_s")).groupBy("src", F.col("_d").alias("_to")).agg(F.sum("walks").alias("walks")).withColumnRenamed("_to", "dst")
+        step = hub_join(frontier, e, "dst", "_s", known_hubs(frontier, "dst", hub_rows), left_by)
+        frontier = step.groupBy("src", F.col("_d").alias("_to")).agg(F.sum(F.col("walks") * F.col("_times")).alias("walks")).withColumnRenamed("_to", "dst")
+        if hops < max_hops:
+            frontier = cut(frontier)
         out = out.unionByName(frontier.withColumn("hops", F.lit(hops)))
     return out.select("src", "dst", "hops", "walks")
 

@@ -18,6 +18,7 @@ from graphloom.operators import paths as G
 from graphloom.operators import report as R
 from graphloom.operators import search as N
 from graphloom.operators import text_index as I
+from graphloom.operators import vector_index as VI
 from graphloom.sources.checkpoints import shared_dir
 from graphloom.sources.graph import SCHEMAS, Graph, driver_graph, internal_ids, read_csv, read_results, write_results
 from graphloom.streaming.upserts import AttributeTable, run_upserts
@@ -250,6 +251,13 @@ def chain_region(g: Graph) -> DataFrame:
     return M.chain(g, "Customer", ["InNation", "InRegion"]).groupBy(F.col("n2_r_name").alias("r_name")).agg(F.count("*").alias("customers"))
 
 
+@on_graph("select c_custkey, n_name, r_name from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
+def chain_at_hubs(g: Graph) -> DataFrame:
+    """Each customer's nation and region; nations and regions are hubs, which few nodes share among all customers."""
+    found = M.chain(g, "Customer", ["InNation", "InRegion"], hub_rows=500)
+    return found.select(F.col("n0_c_custkey").alias("c_custkey"), F.col("n1_n_name").alias("n_name"), F.col("n2_r_name").alias("r_name"))
+
+
 @on_graph(f"select a.c_name as a_name, k.since, b.c_name as b_name from {_KNOWS} k join customer a on k.src = a.c_custkey join customer b on k.dst = b.c_custkey")
 def one_hop(g: Graph) -> DataFrame:
     return M.hop(g, "Knows").select(F.col("a_c_name").alias("a_name"), F.col("r_since").alias("since"), F.col("b_c_name").alias("b_name"))
@@ -762,15 +770,27 @@ def lww_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- search --------------------------------------------------------------------------------------------------------
 
 
-@query("""with v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
+_TOPK = """with v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
 select query_id, vec_id, score, place from (select q.vec_id as query_id, v.vec_id, round(list_cosine_similarity(q.e, v.e), 9) as score, row_number() over (partition by q.vec_id order by round(list_cosine_similarity(q.e, v.e), 9) desc, v.vec_id) as place
-from v q join v on q.vec_id % 20 = 0 and q.vec_id <> v.vec_id) where place <= 10""")
+from v q join v on q.vec_id % 20 = 0 and q.vec_id <> v.vec_id) where place <= 10"""
+
+
+@query(_TOPK)
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     out = N.vector_top_k(vectors, vectors.where("vec_id % 20 = 0"), 10)
     return out.select("query_id", "vec_id", "score", F.col("place").cast("long").alias("place"))
 
 
+@query(_TOPK)
+def vector_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a file of vectors by cells: the nearest cells first, then those that could hold better ones."""
+    vectors = table(spark, sf_dir, "embeddings")
+    index = VI.build(vectors, f"{shared_dir(spark)}/vectors-{uuid.uuid4().hex}")
+    out = VI.top_k(index, vectors.where("vec_id % 20 = 0"), 10)
+    return out.select("query_id", "vec_id", "score", F.col("place").cast("long").alias("place"))
+
+
 _TERMS = ["license", "apache"]
 
 
