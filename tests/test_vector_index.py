@@ -34,12 +34,13 @@ def test_exact_search_gives_all_rows(spark, vectors, tmp_path):
 def test_groups_meet_however_partitions_are_dealt(spark, vectors):
     queries = vectors.where("vec_id % 9 = 0")
     want = rows_of(N.vector_top_k(vectors, queries, 7))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         assert rows_of(N.vector_top_k(vectors, queries, 7, group_rows=200)) == want
         assert rows_of(N.vector_top_k(vectors, queries, 7, group_rows=40)) == want
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
 def test_recall_of_the_nearest_cells(spark, data, tmp_path):
