@@ -4,7 +4,9 @@ A text becomes a vector of hashed letter n-grams (bytes, one to three long; all
 over the whole text. A linear SVM for every two families votes for the family, and one for every two languages of
 the winner votes for the language.
 
-The SVMs learn from a sample of the labelled rows, whose bound is a parameter; everything else is over all rows.
+The SVMs learn from a sample of the labelled rows, whose bound is a parameter; everything else is over all rows. Each
+duel is fitted in a task of its own or with a few others, from the sample as a broadcast; sample and fitted duels are
+held against MODEL_BYTES first.
 """
 
 from __future__ import annotations
@@ -26,9 +28,13 @@ SIZE = 1 << 11
 SAMPLE_ROWS, LANGUAGE_ROWS, LEAST_ROWS = 8_000, 1_200, 20
 SLICE_ROWS = 400
 EPOCHS, PENALTY = 12, 4.0
+#: Bytes of a broadcast sample or model at most; more of them is an error.
+MODEL_BYTES = 128 << 20
+#: Codes without a family up to which each is a family of its own; beyond it those with a first letter in common are one.
+OWN_FAMILIES = 32
 UNKNOWN = "und"
 
-# Families of language codes. A code that isn't here is a family of its own.
+# Families of language codes.
 FAMILIES = {
     "germanic": "af da de en fo fy is lb nb nl nn no sv yi",
     "romance": "ca es fr gl it la oc pt ro",
@@ -45,8 +51,15 @@ for _c in range(97, 123):
 _letter[128:] = np.arange(128, 256)
 
 
-def family(lang: str) -> str:
-    return next((k for k, v in FAMILIES.items() if lang.lower().replace("_", "-").split("-")[0] in v.split()), f"own:{lang}")
+def family(lang: str) -> str | None:
+    return next((k for k, v in FAMILIES.items() if lang.lower().replace("_", "-").split("-")[0] in v.split()), None)
+
+
+def families(langs: list[str]) -> dict[str, str]:
+    """The family of each language, those of FAMILIES or, for other codes, as OWN_FAMILIES says."""
+    known = {lang: family(lang) for lang in langs}
+    few = sum(v is None for v in known.values()) <= OWN_FAMILIES
+    return {k: v or (f"own:{k}" if few else f"other:{k[:1].lower()}") for k, v in known.items()}
 
 
 def vectors(column: pa.Array, size: int = SIZE) -> Iterator[tuple[int, np.ndarray]]:
@@ -55,6 +68,7 @@ def vectors(column: pa.Array, size: int = SIZE) -> Iterator[tuple[int, np.ndarra
         code = _letter[data].astype(np.int64)
         keep = np.ones(len(code), bool)
         keep[1:] = (code[1:] != 32) | (code[:-1] != 32)
+        keep[offsets[:-1][np.diff(offsets) > 0]] = True  # a text's first blank is no repeat of the last text's
         for a in range(0, hi - lo, SLICE_ROWS):
             b = min(hi - lo, a + SLICE_ROWS)
             part = slice(offsets[a], offsets[b])
@@ -79,33 +93,74 @@ def has_letter(column: pa.Array) -> np.ndarray:
 
 def svm(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, penalty: float = PENALTY) -> np.ndarray:
     """Weights (the bias last) of a linear SVM with squared hinge loss, by dual coordinate descent. y is 1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
     share = np.array([0.5 / max(1, (y == s).sum()) for s in (-1, 1)])
     slack = 1 / (2 * penalty * len(x) * share[(y > 0).astype(int)])
-    square = (x * x).sum(1) + slack
-    w, alpha, order = np.zeros(x.shape[1]), np.zeros(len(x)), np.random.default_rng(3)
+    w, alpha, rng = np.zeros(x.shape[1] + 1), np.zeros(len(x)), np.random.default_rng(3)
+    row = np.ones(len(w))
+    square = np.einsum("ij,ij->i", x, x, dtype=np.float64) + 1 + slack
     for _ in range(epochs):
-        for k in order.permutation(len(x)):
-            new = max(0.0, alpha[k] - (y[k] * (x[k] @ w) - 1 + slack[k] * alpha[k]) / square[k])
+        for k in rng.permutation(len(x)):
+            row[:-1] = x[k]
+            new = max(0.0, alpha[k] - (y[k] * (row @ w) - 1 + slack[k] * alpha[k]) / square[k])
             if new != alpha[k]:
-                w += (new - alpha[k]) * y[k] * x[k]
+                w += (new - alpha[k]) * y[k] * row
                 alpha[k] = new
     return w.astype(np.float32)
 
 
-def _duels(x: np.ndarray, y: np.ndarray, names: list[str]) -> dict:
-    return {(a, b): svm(x[keep := np.isin(y, (a, b))], np.where(y[keep] == b, 1.0, -1.0)) for a, b in combinations(names, 2)}
+def duels(langs: list[str]) -> list[tuple[str | None, str, str]]:
+    """(family, language, language) of every two languages of a family, and (None, family, family)."""
+    of = families(langs)
+    groups = {f: sorted(k for k in of if of[k] == f) for f in sorted(set(of.values()))}
+    return [*((None, a, b) for a, b in combinations(groups, 2)), *((f, a, b) for f, v in groups.items() for a, b in combinations(v, 2))]
+
+
+def duel_weights(x: np.ndarray, langs: np.ndarray, duel: tuple[str | None, str, str]) -> np.ndarray:
+    """Of one duel, from all the sample's rows (16-bit floats), of which it takes those of its two sides."""
+    within, a, b = duel
+    of = families(sorted(set(langs)))
+    side = langs if within is not None else np.array([of[v] for v in langs], object)
+    keep = np.flatnonzero((side == a) | (side == b))
+    return svm(x[keep].astype(np.float32), np.where(side[keep] == b, 1.0, -1.0))
+
+
+def _fitted(sample, plan: list[tuple[str | None, str, str]]):
+    @freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, names = sample.value
+            x, langs = np.frombuffer(raw, np.float16).reshape(len(names), SIZE), np.array(names, object)
+            for k in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([duel_weights(x, langs, plan[k]).tobytes()], pa.binary())], names=["duel", "w"])
+
+    return run
 
 
-def fit(x: np.ndarray, langs: list[str]) -> dict:
-    """Duels of families, and of the languages in each."""
-    y = np.array(langs, object)
-    names = sorted(set(langs))
-    groups: dict[str, list[str]] = {}
-    for lang in names:
-        groups.setdefault(family(lang), []).append(lang)
-    families = np.array([family(v) for v in langs], object)
-    return {"groups": groups, "families": _duels(x, families, sorted(groups)), "within": {k: _duels(x, y, v) for k, v in groups.items()}}
+def _fit_size(plan: list[tuple[str | None, str, str]]) -> int:
+    return len(plan) * 4 * (SIZE + 1)
+
+
+def fit(sample: DataFrame) -> dict | None:
+    """Duels of families, and of the languages in each, from sample(lang, v). None without rows."""
+    spark = sample.sparkSession
+    size, found = sample.count(), sorted(r[0] for r in sample.select("lang").distinct().toLocalIterator())
+    plan = duels(found)
+    if max(2 * SIZE * size, _fit_size(plan)) > MODEL_BYTES:
+        raise ValueError(f"{len(found)} languages make {len(plan)} duels and a sample of {size} rows, more than MODEL_BYTES: clean the labels or raise it")
+    if not found:
+        return None
+    rows = sorted((tuple(r) for r in sample.toLocalIterator()), key=lambda r: (r[0], bytes(r[1])))
+    model: dict = {"groups": {}, "families": {}, "within": {}}
+    for lang, name in families(found).items():
+        model["groups"].setdefault(name, []).append(lang)
+        model["within"].setdefault(name, {})
+    if plan:
+        shared = spark.sparkContext.broadcast((b"".join(bytes(r[1]) for r in rows), [r[0] for r in rows]))
+        fitted = spark.range(0, len(plan), 1, min(len(plan), 400)).mapInArrow(_fitted(shared, plan), "duel long, w binary")
+        for k, w in sorted((r[0], bytes(r[1])) for r in stored(fitted, "duels").toLocalIterator()):
+            name, a, b = plan[k]
+            (model["families"] if name is None else model["within"][name])[a, b] = np.frombuffer(w, np.float32)
+    return model
 
 
 def _votes(x: np.ndarray, names: list[str], duels: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -127,10 +182,10 @@ def _votes(x: np.ndarray, names: list[str], duels: dict) -> tuple[np.ndarray, np
 
 
 def predict(model: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    families = sorted(model["groups"])
-    at, score = _votes(x, families, model["families"])
+    names = sorted(model["groups"])
+    at, score = _votes(x, names, model["families"])
     lang = np.empty(len(x), object)
-    for k, name in enumerate(families):
+    for k, name in enumerate(names):
         rows = np.flatnonzero(at == k)
         if len(rows):
             best, sure = _votes(x[rows], model["groups"][name], model["within"][name])
@@ -172,7 +227,7 @@ def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, language_rows: int
     Rows that aren't held out and have a lang, and a letter in their text, may be learned from: of each
     language about `language_rows` or fewer, `sample_rows` together, chosen by a hash of the doc_id; where there are
     many languages, each one still has about LEAST_ROWS, or all that it has. Duels grow with the square of the
-    languages of a family, and of the families. A
+    languages of a family, and of the families; where they or the sample pass MODEL_BYTES, that is an error. A
     text that is null or has no letter is `und` with score 0; without anything to learn from, each one is. A null
     doc_id counts as the empty text. Ties of votes go by margins. Equal texts get equal answers.
     """
@@ -185,14 +240,6 @@ def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, language_rows: int
         each = max(LEAST_ROWS, min(language_rows, sample_rows // many))
         shares = counts.select("_lang", (F.least(F.lit(1.0), F.lit(each) / F.col("count")) * 2**30).cast("long").alias("_share"))
         chosen = usable.join(small(shares, many), F.col("lang") == F.col("_lang")).where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < F.col("_share"))
-        chosen = chosen.select("lang", "text").mapInArrow(_features, "lang string, v binary")
-        sample = stored(chosen, "sample").toLocalIterator()
-        langs, x = [], []
-        for r in sample:
-            langs.append(r[0])
-            x.append(np.frombuffer(r[1], np.float16).astype(np.float32))
-        if langs:
-            order = np.lexsort((np.array([float(v.sum()) for v in x]), np.array(langs)))
-            model = fit(np.array(x)[order], [langs[k] for k in order])
+        model = fit(stored(chosen.select("lang", "text").mapInArrow(_features, "lang string, v binary"), "sample"))
     shared = spark.sparkContext.broadcast(model)
     return rows.select("doc_id", "text", "held_out").mapInArrow(_predicted(shared), "doc_id long, held_out boolean, lang_pred string, score double")
