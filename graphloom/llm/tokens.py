@@ -145,6 +145,8 @@ class Encoder:
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         column = pc.fill_null(column.cast(pa.large_string()), "")
+        if column.offset or len(column) and np.frombuffer(column.buffers()[1], np.int64, 1)[0]:
+            column = pa.concat_arrays([column, column[:0]])  # ascii_lower misreads places that don't start at 0
         sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         lo = 0

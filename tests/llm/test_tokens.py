@@ -165,3 +165,12 @@ def test_empty_tables(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert P.pack(empty, public_tokenizers.path(WORD_VOCABULARY)).count() == 0
     assert K.digest(empty, public_tokenizers.path(BYTE_VOCABULARY)).count() == 0
+
+
+@pytest.mark.parametrize("name", [WORD_VOCABULARY, BYTE_VOCABULARY])
+def test_parts_of_a_column_have_their_own_ids(name):
+    """A part's places in its bytes don't start at 0, nor do they once it is cast."""
+    texts = ["Alpha. BETA", None, "gamma Delta,", "", "Éps 7"] * 4
+    for column in (pa.array(texts)[7:], pa.array(texts).cast(pa.large_string())[7:], pa.array(texts)[7:].cast(pa.large_string())):
+        for first, ids, at in Encoder(public_tokenizers.path(name)).slices(column):
+            assert [ids[at[k] : at[k + 1]].tolist() for k in range(len(at) - 1)] == [ids_of(name, t) for t in texts[7 + first : 7 + first + len(at) - 1]]
