@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import accumulate, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -140,8 +141,9 @@ def write(docs: DataFrame, path: str, to: str, mean: int = MEAN) -> None:
     wide = Tokenizer.from_file(path).get_vocab_size() > 1 << 16
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = rows.mapInArrow(_split(path, wide, mean), _PARTS)
-    # chunks meet by digest; each task has sent a body once, and recipes have parts of their own
-    same = Window.partitionBy("kind", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # chunks meet by digest; each task has sent a body once, and recipes have parts of their own. The part comes first,
+    # as rows are sorted by the first bytes of the first column
+    same = Window.partitionBy("part", "kind").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     once = parts.withColumn("seen", F.count(F.lit(1)).over(same)).where("seen = 1").withColumn("part", F.when(F.col("kind") == "chunk", F.col("part"))).drop("seen")
     with little_memory(spark):
         once.write.partitionBy("kind").option("compression", "zstd").parquet(f"{to}/content")
@@ -175,14 +177,14 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of chunks (digest, n, ids): how many ids each one holds, and the CRC of them as 4 bytes each."""
     for batch in batches:
         digests, n, bodies = (_values(batch.column(k)) for k in range(3))
-        held, crcs = [], []
+        width = 4 if sum(map(len, bodies)) == 4 * sum(n) else 2
         for digest, count, body in zip(digests, n, bodies, strict=True):
-            if digest_of(body) != digest or len(body) not in (2 * count, 4 * count):
+            if digest_of(body) != digest or len(body) != width * count:
                 raise ValueError(f"chunk {digest.hex()} holds other ids than its digest says")
-            ids = body if len(body) == 4 * count else np.frombuffer(body, "<u2").astype("<u4").tobytes()
-            held.append(count)
-            crcs.append(zlib.crc32(ids))
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(held, pa.int64()), pa.array(crcs, pa.int64())], names=["d", "held", "crc"])
+        joined = b"".join(bodies)
+        ids = memoryview(joined if width == 4 else np.frombuffer(joined, "<u2").astype("<u4").tobytes())
+        crcs = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in pairwise(accumulate(n, initial=0))]
+        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(n, pa.int64()), pa.array(crcs, pa.int64())], names=["d", "held", "crc"])
 
 
 @freed
