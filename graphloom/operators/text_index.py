@@ -1,23 +1,34 @@
-"""An inverted index of a table of texts: postings with positions, in files by ranges of terms, and bounds by block.
+"""An inverted index of a table of texts: postings with positions, in sorted runs, and bounds by block.
 
-Postings lie in the order of (term, doc_id), so a lookup of a few terms reads only the row groups that hold them. A
-frequent term spans many files; no task holds all of a term. Blocks are ranges of doc_id; for each term and block the
-index has the greatest count and the least length, which bound what any document of the block can score.
+All of a document's words are in its own row, so its postings are made where it is read, and only bounds are shuffled. A
+task sorts postings by (term, doc_id) in runs of bounded size and writes them one after the other; a lookup of a few
+terms reads a page or so of each run, which Parquet finds by the pages' least and greatest terms. Runs grow with the
+texts, and no task holds all of a term. Blocks are ranges of doc_id; for each term and block the index has the greatest
+count and the least length, which bound what any document of the block can score.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.sources.checkpoints import cut
 
 BLOCK = 1024
+#: Words of a run, from which a text may add its own.
+RUN_WORDS = 2_000_000
+#: Rows up to which a side is broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 500_000
+#: The empty term, which is no word, stands for the documents: each has one posting of it, without places.
+DOCUMENT = ""
 POSTINGS = "term string, doc_id bigint, block bigint, len int, tf int, positions array<int>"
 BLOCKS = "term string, block bigint, docs bigint, most int, shortest int"
-LENGTHS = "doc_id bigint, len int"
 
 
 def words_of(text: Column) -> Column:
@@ -39,26 +50,71 @@ class TextIndex:
 
     def totals(self) -> DataFrame:
         """One row: documents and their mean length."""
-        return self._read("lengths", LENGTHS).agg(F.count("*").alias("n"), F.avg("len").alias("mean"))
-
-
-def build(docs: DataFrame, at: str, block: int = BLOCK) -> TextIndex:
+        return self.postings([DOCUMENT]).agg(F.count("*").alias("n"), F.avg("len").alias("mean"))
+
+
+def _run(held: list[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """The postings of batches (doc_id, words), ordered by (term, doc_id)."""
+    docs = pa.Table.from_batches(held).sort_by("doc_id").combine_chunks()
+    ids, lists = docs.column(0).to_numpy(), docs.column(1).combine_chunks()
+    size = pc.list_value_length(lists).to_numpy()
+    coded = lists.flatten().dictionary_encode()
+    rank = np.empty(len(coded.dictionary), np.int64)
+    order = pc.sort_indices(coded.dictionary)
+    rank[order] = np.arange(len(rank))
+    doc = np.repeat(np.arange(len(ids)), size)
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    key = rank[coded.indices] * len(ids) + doc
+    by_key = np.argsort(key, kind="stable")  # places stay in order
+    key = key[by_key]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    term, doc = np.divmod(key[first], len(ids))
+    at = np.append(first, len(key))
+    # the documents' own rows come first, as the empty term does
+    terms = pa.concat_arrays([pa.repeat(DOCUMENT, len(ids)), coded.dictionary.take(order).take(pa.array(term))])
+    doc = np.concatenate([np.arange(len(ids)), doc])
+    tf = np.concatenate([np.zeros(len(ids), np.int64), np.diff(at)])
+    ends = np.concatenate([np.zeros(len(ids), np.int64), at]).astype(np.int32)
+    positions = pa.ListArray.from_arrays(pa.array(ends), pa.array(place[by_key].astype(np.int32)))
+    columns = [terms, pa.array(ids[doc]), pa.array(ids[doc] // block), pa.array(size[doc].astype(np.int32)), pa.array(tf.astype(np.int32)), positions]
+    yield from pa.table(columns, names=["term", "doc_id", "block", "len", "tf", "positions"]).to_batches(max_chunksize=20_000)
+
+
+def _runs(block: int, run_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, words = [], 0
+        for batch in batches:
+            ends, lo = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy()), 0
+            while lo < len(batch):
+                done = ends[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(ends, done + run_words, "right")))
+                held.append(batch.slice(lo, hi - lo))
+                words, lo = words + ends[hi - 1] - done, hi
+                if words >= run_words:
+                    yield from _run(held, block)
+                    held, words = [], 0
+        if held:
+            yield from _run(held, block)
+
+    return run
+
+
+def build(docs: DataFrame, at: str, block: int = BLOCK, run_words: int = RUN_WORDS) -> TextIndex:
     """The index of docs(doc_id, text). Rows without doc_id aren't in it; rows that share one are one document whose
     texts follow each other, in their order as strings. A null or empty text is a document without words."""
     spark, index = docs.sparkSession, TextIndex(docs.sparkSession, at)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = cut(rows.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")))
-    alone = rows.join(shared, F.col("doc_id") == F.col("_id"), "left_anti")
-    joined = rows.join(shared, F.col("doc_id") == F.col("_id"), "left_semi").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
-    split = alone.unionByName(joined).select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", "words", F.size("words").alias("len"))
-    split.select("doc_id", "len").write.parquet(f"{index.at}/lengths")
-    placed = split.select("doc_id", "len", F.posexplode("words").alias("place", "term"))
-    own = placed.groupBy("term", "doc_id", "len").agg(F.array_sort(F.collect_list("place")).alias("positions"))  # a group lies within a document
-    postings = own.select("term", "doc_id", F.floor(F.col("doc_id") / block).alias("block"), "len", F.size("positions").alias("tf"), "positions")
-    postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(f"{index.at}/postings")
-    stored = spark.read.schema(POSTINGS).parquet(f"{index.at}/postings")
-    bounds = stored.groupBy("term", "block").agg(F.count("*").alias("docs"), F.max("tf").alias("most"), F.min("len").alias("shortest"))
-    bounds.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{index.at}/blocks")
+    n = shared.count()
+    if n:
+        some = F.broadcast(shared) if n <= BROADCAST_ROWS else shared
+        alone = rows.join(some, F.col("doc_id") == F.col("_id"), "left_anti")
+        joined = rows.join(some, F.col("doc_id") == F.col("_id"), "left_semi").groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
+        rows = alone.unionByName(joined)
+    postings = rows.select("doc_id", words_of(F.col("text")).alias("words")).mapInArrow(_runs(block, run_words), POSTINGS)
+    postings.write.option("compression", "zstd").parquet(f"{index.at}/postings")
+    bounds = index._read("postings", POSTINGS).where(F.col("term") != DOCUMENT).groupBy("term", "block").agg(F.count("*").alias("docs"), F.max("tf").alias("most"), F.min("len").alias("shortest"))
+    bounds.sortWithinPartitions("term", "block").write.option("compression", "zstd").parquet(f"{index.at}/blocks")
     return index
 
 

@@ -55,3 +55,25 @@ def test_odd_rows(spark, tmp_path):
     assert [tuple(r) for r in I.phrase(index, ["b", "b"]).collect()] == [(1, 1)]
     empty = I.build(spark.createDataFrame([], "doc_id long, text string"), f"file://{tmp_path}/none")
     assert I.bm25(empty, ["a"]).count() == 0 and I.bm25(empty, ["a"], 3).count() == 0 and I.phrase(empty, ["a"]).count() == 0
+
+
+def test_a_build_shuffles_less_than_its_texts(spark, rows, tmp_path):
+    def shuffled():
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), None)
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    docs = spark.createDataFrame([(10_000 * r + i, t) for r in range(8) for i, t in rows], "doc_id long, text string")
+    before = shuffled()
+    index = I.build(docs, f"file://{tmp_path}/bytes")
+    assert shuffled() - before < sum(len(t or "") for _, t in rows) * 8
+    assert index.totals().first()["n"] == docs.select("doc_id").distinct().count()
+
+
+def test_many_short_runs(spark, rows, tmp_path):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    index = I.build(docs, f"file://{tmp_path}/runs", block=50, run_words=100)
+    want = sorted(map(tuple, N.bm25(docs, ["w1", "w39"]).collect()))
+    assert sorted(map(tuple, I.bm25(index, ["w1", "w39"]).collect())) == want
+    assert [tuple(r) for r in I.bm25(index, ["w1", "w39"], 5).collect()] == sorted(want, key=lambda r: (-r[1], r[0]))[:5]
+    assert I.phrase(index, ["w1", "w1"]).where("doc_id = 5003").first()["times"] == 2999
+    assert I.bm25(index, [""]).count() == 0 and I.phrase(index, [""]).count() == 0
