@@ -21,14 +21,19 @@ def timestamp(text: Column) -> Column:
 
 def interval(text: Column) -> Column:
     """struct(months, days, micros) of a text such as '1 year 3 days 2 hours'; null if no unit is named."""
-    def amount(unit: str) -> Column:
-        return F.coalesce(F.nullif(F.regexp_extract(text, rf"(?i)(-?[0-9]+)\s*{unit}s?\b", 1), F.lit("")).cast("bigint"), F.lit(0).cast("bigint"))
-
-    months = sum((amount(u) * _UNITS[u] for u in _MONTHS), F.lit(0).cast("bigint"))
-    days = sum((amount(u) * _UNITS[u] for u in _DAYS), F.lit(0).cast("bigint"))
-    micros = sum((amount(u) * _UNITS[u] for u in _UNITS if u not in _MONTHS + _DAYS), F.lit(0).cast("bigint"))
-    known = text.rlike(rf"(?i)-?[0-9]+\s*({'|'.join(_UNITS)})s?\b")
-    return F.when(known, F.struct(months.cast("int").alias("months"), days.cast("int").alias("days"), micros.alias("micros")))
+    named = F.lit(rf"(?i)(-?[0-9]+)\s*({'|'.join(_UNITS)})s?\b")
+    # two searches find all amounts and their units; the one-element array binds them
+    found = F.array(F.struct(F.regexp_extract_all(text, named, F.lit(1)).alias("n"), F.transform(F.regexp_extract_all(text, named, F.lit(2)), F.lower).alias("unit")))
+
+    def sums(x: Column) -> Column:
+        def total(*own: str) -> Column:
+            # the first amount of each unit counts
+            return sum((F.coalesce(F.get(x["n"], (F.array_position(x["unit"], u) - 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint")) * _UNITS[u] for u in own), F.lit(0).cast("bigint"))
+
+        micros = total(*(u for u in _UNITS if u not in _MONTHS + _DAYS))
+        return F.when(F.size(x["unit"]) > 0, F.struct(total(*_MONTHS).cast("int").alias("months"), total(*_DAYS).cast("int").alias("days"), micros.alias("micros")))
+
+    return F.get(F.transform(found, sums), F.lit(0))
 
 
 def blob(text: Column) -> Column:

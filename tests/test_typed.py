@@ -73,6 +73,23 @@ def test_temporal(spark):
     assert one(spark, C.date(F.lit("2026-07-29"))) == (datetime.date(2026, 7, 29),)
 
 
+def test_intervals_of_odd_texts(spark):
+    import re
+
+    units = {"year": (0, 12), "month": (0, 1), "week": (1, 7), "day": (1, 1), "hour": (2, 3_600_000_000), "minute": (2, 60_000_000), "second": (2, 1_000_000), "millisecond": (2, 1_000), "microsecond": (2, 1)}
+    texts = ["3 days 5 day", "5-3 DAYS-2hours", "2years3days", "1 dayhour 4\nWeeks", "1 second 2 milliseconds 3 microseconds 4 minutes", "--7 month", "7 wee\u212as 1 day", "12 34 days", "days 3", "", None, "1 Year 2 MONTHS 3 years"]
+    want = []
+    for t in texts:
+        found = {u: re.search(rf"(-?[0-9]+)\s*{u}s?\b", t or "", re.I | re.A) for u in units}
+        sums = [sum(int(m[1]) * units[u][1] for u, m in found.items() if m and units[u][0] == k) for k in range(3)]
+        want.append(tuple(sums) if any(found.values()) else None)
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", C.interval(F.col("t")).alias("i")).orderBy("k")
+    assert [r["i"] and tuple(r["i"]) for r in df.collect()] == want
+    # two searches a text, whatever the units
+    plan = spark.createDataFrame([("1 day",)], "t string").select(C.interval(F.col("t")).alias("i"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") + plan.count("RLIKE") == 2
+
+
 def test_intervals(spark):
     i = C.interval(F.lit("3 days"))
     assert one(spark, V.interval_seconds(i["months"], i["days"], i["micros"])) == (259200.0,)
