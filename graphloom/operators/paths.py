@@ -131,12 +131,18 @@ SPREAD_STEPS = 4
 
 
 def _spread(values: DataFrame, edges: DataFrame) -> DataFrame:
-    """values(node, value) after each node has the least value of all nodes that reach it along edges(a, b)."""
+    """values(node, value) after each node has the least value of all nodes that reach it along edges(a, b).
+
+    Each node also leads to itself, so a step reads the one before once, and the plan of a job grows with its steps, not
+    with a power of two. Values stay dealt by node and edges by a; only what comes to a node is shuffled. The hash of a
+    join is built of values, of which a node has one, so a hub makes none large."""
+    all_edges = edges.where("a <> b").select("a", "b").unionByName(values.select(F.col("node").alias("a"), F.col("node").alias("b")))
+    values = values.select("node", "value")
     while True:
         step = values.withColumn("was", F.col("value"))
         for _ in range(SPREAD_STEPS):
-            came = edges.join(step.select(F.col("node").alias("_n"), F.col("value").alias("_v")), F.col("a") == F.col("_n")).groupBy(F.col("b").alias("_b")).agg(F.min("_v").alias("_came"))
-            step = step.join(came, F.col("node") == F.col("_b"), "left").select("node", F.least("value", "_came").alias("value"), "was")
+            came = all_edges.join(step.hint("shuffle_hash"), F.col("a") == F.col("node")).where("value is not null or a = b")
+            step = came.groupBy(F.col("b").alias("_b")).agg(F.min("value").alias("value"), F.min(F.expr("if(a = b, was, null)")).alias("was")).withColumnRenamed("_b", "node")
         step = cut(step)
         values = step.select("node", "value")
         if step.where("not value <=> was").isEmpty():

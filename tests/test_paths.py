@@ -144,3 +144,17 @@ def test_a_ring_is_one_pair_of_components(spark):
     assert of.select("component", "size").distinct().collect() == [(0, 60)]
     assert G.condensed_closure(ring, of).count() == 1
     assert G.reach_counts(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_the_plan_of_a_spread_grows_with_its_steps(spark, monkeypatch):
+    leaves, cut = [], G.cut
+
+    def counted(df):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return cut(df)
+
+    monkeypatch.setattr(G, "cut", counted)
+    edges = spark.createDataFrame([(k, (k + 1) % 6) for k in range(6)] + [(7, 8), (8, 7), (0, 7), (9, 9), (3, 3)], "src long, dst long")
+    found = {tuple(r) for r in G.strong_components(edges).collect()}
+    assert found == {*((k, 0, 6) for k in range(6)), (7, 7, 2), (8, 7, 2), (9, 9, 1)}
+    assert max(leaves) <= 3 * G.SPREAD_STEPS + 2
