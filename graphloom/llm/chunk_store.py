@@ -38,6 +38,8 @@ WINDOW = 8
 DIGEST = 16
 #: Digests that make one inner node of a Merkle tree.
 FAN = 16
+#: Bytes of texts that are encoded at once: the more, the more cuts repeat among them.
+ENCODED_BYTES = 4 << 20
 #: Digests of bodies that a task remembers to have sent.
 REMEMBERED = 200_000
 
@@ -91,8 +93,8 @@ def _split(path: str, wide: bool, mean: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent, kind, width = set(), "<u4" if wide else "<u2", 4 if wide else 2
         with encoder(path) as encode:
-            for batch in larger(batches):
-                for first, ids, at in encode.slices(batch.column(2)):
+            for batch in larger(batches, ENCODED_BYTES):
+                for first, ids, at in encode.slices(batch.column(2), ENCODED_BYTES):
                     n_rows = len(at) - 1
                     ids = np.insert(ids, at[1:], END_ID)
                     at = (at + np.arange(n_rows + 1)).tolist()

@@ -8,13 +8,13 @@ piece, texts with other white space are encoded whole; so are texts that hold a
 library turns into that token.
 
 New cuts that are one run of Latin letters are one piece each, which goes to the vocabulary's model without the
-search for pieces. Others are encoded many at a time, with a separator between them that is a piece of its own.
+search for pieces; where the model merges nothing with some byte, many of them go at once with that byte between. Others
+are encoded many at a time, with a separator between them that is a piece of its own.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -24,16 +24,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Cuts that a task keeps: two generations of half as many. When the young one is full it becomes the old one, and
-#: what the texts use again moves to the young one.
-CACHE_CUTS = 150_000
+#: Cuts that a task keeps, those of the last slices first: about 20 MB, as they lie in arrays.
+CACHE_CUTS = 300_000
 #: Bytes of a longest cut that is kept.
 LONGEST_KEPT = 64
 SLICE_BYTES = 2 << 20
 #: Cuts encoded as one string.
 JOINED = 200
+#: Words that go to the model as one string.
+JOINED_WORDS = 100
 #: Runs of letters that stay single letters when normalized (İ doesn't), with the blank that belongs to the piece.
-LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+LETTERS = "^ ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+$"
 MARK = r"([!-/:-@\[-`{-~])"
 #: White space other than blank and line feed, and the mark below.
 ODD_SPACE = r"[\x00\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -46,6 +47,19 @@ def _hidden_bytes() -> list[tuple[str, str]]:
     return [(chr(k), chr(256 + n)) for n, k in enumerate(hidden) if k >= 32]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, one range after the other. Places fit 4 bytes: a slice is a few MB or one
+    text, and a text's ids are no more than its bytes."""
+    to = np.cumsum(size)
+    out = np.repeat((begin - to + size).astype(np.int32), size)
+    out += np.arange(len(out), dtype=np.int32)
+    return out
+
+
 def _is_letter(x: str) -> bool:
     return len(x) == 1 and unicodedata.category(x)[0] == "L"
 
@@ -63,10 +77,11 @@ class Encoder:
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.hidden, self.lower = self.tokenizer.model, _hidden_bytes(), self.tokenizer.normalizer is not None
         tried = ["a", "Zum", "été", "Ærø", "naïve", "straßenbahn", "ŁÓDŹ", *(" Zum", " été") * self.blank_in_piece]
-        self.by_model = self._encode_words(tried) == self._encode(tried)
+        self.joint = self._mark_without_merges()
+        ids, size = self._encode_words(tried)
+        self.by_model = [x.tobytes() for x in np.split(ids, np.cumsum(size)[:-1])] == self._encode(tried)
         self.letter_and_mark = f"([^\\P{{L}}{self._unlike_letters()}]){MARK}"
-        self.kept: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.forget()
 
     def _unlike_letters(self) -> str:
         """The letters that the normalizer doesn't turn into one letter, for a class of a pattern."""
@@ -82,23 +97,42 @@ class Encoder:
             out += [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts[k : k + 500], add_special_tokens=False)]
         return out
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of cuts that LETTERS matches."""
+    def _mark_without_merges(self) -> str | None:
+        """What stands for the byte 1, which no letter has, if it is in no other entry of the vocabulary: then a string
+        with it between words has the words' ids with its own between them."""
+        mark, model = chr(256 + 1), self.model
+        plain = not (getattr(model, "end_of_word_suffix", "-") or getattr(model, "continuing_subword_prefix", "-") or model.dropout)
+        return mark if plain and [x for x in self.tokenizer.get_vocab(with_added_tokens=False) if mark in x] == [mark] else None
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of cuts that LETTERS matches, in a row, and how many each has."""
         text = "\n".join(words)
         shown = (text.lower() if self.lower else text).encode().decode("latin-1")
         for byte, instead in self.hidden:
             shown = shown.replace(byte, instead)
-        tokenize = self.model.tokenize
-        return [array("I", [y.id for y in tokenize(x)]).tobytes() for x in shown.split("\n")]
-
-    def _encode_new(self, cuts: list[str]) -> list[bytes]:
-        if not self.by_model:
-            return self._encode_cuts(cuts)
-        is_word = list(map(LETTERS.fullmatch, cuts))
-        words = [x for x, yes in zip(cuts, is_word, strict=True) if yes]
-        of_words = iter(self._encode_words(words) if words else [])
-        others = iter(self._encode_cuts([x for x, yes in zip(cuts, is_word, strict=True) if not yes]))
-        return [next(of_words if yes else others) for yes in is_word]
+        tokenize, pieces = self.model.tokenize, shown.split("\n")
+        if self.joint:
+            mark, ids = self.joint, array("I")
+            for k in range(0, len(pieces), JOINED_WORDS):
+                ids.extend([y.id for y in tokenize(mark.join(pieces[k : k + JOINED_WORDS]) + mark)])
+            ids = np.array(ids, "<u4")
+            at = np.flatnonzero(ids == self.model.token_to_id(mark))
+            return np.delete(ids, at), np.diff(at, prepend=-1) - 1
+        own = [array("I", [y.id for y in tokenize(x)]).tobytes() for x in pieces]
+        return np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
+
+    def _encode_new(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, where each cut's begin, and how many it has."""
+        is_word = np.asarray(pc.match_substring_regex(cuts, LETTERS)) if self.by_model else np.zeros(len(cuts), bool)
+        words, size = np.zeros(0, "<u4"), np.zeros(len(cuts), np.int64)
+        if is_word.any():
+            words, size[is_word] = self._encode_words(_strings(cuts.filter(pa.array(is_word))))
+        others = self._encode_cuts(_strings(cuts.filter(pa.array(~is_word))))
+        size[~is_word] = np.fromiter(map(len, others), np.int64, len(others)) // 4
+        begin = np.empty(len(cuts), np.int64)
+        begin[is_word] = np.cumsum(size[is_word]) - size[is_word]
+        begin[~is_word] = len(words) + np.cumsum(size[~is_word]) - size[~is_word]
+        return np.concatenate([words, np.frombuffer(b"".join(others), "<u4")]), begin, size
 
     def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut. What could touch a separator, or is one, is encoded alone."""
@@ -124,24 +158,31 @@ class Encoder:
                     out[k] = y
         return out
 
-    def _known(self, cuts: list[str]) -> list[bytes]:
-        if len(self.kept) > CACHE_CUTS // 2:
-            self.kept, self.old = {}, self.kept
-        known = list(map(self.kept.get, cuts))
-        gone = [k for k, x in enumerate(known) if x is None]
-        if gone:
-            names = [cuts[k] for k in gone]
-            found = list(map(self.old.get, names))
-            new = [x for x, ids in zip(names, found, strict=True) if ids is None]
-            coded = iter(self._encode_new(new))
-            found = [next(coded) if ids is None else ids for ids in found]
-            for k, ids in zip(gone, found, strict=True):
-                known[k] = ids
-            self.kept.update((x, ids) for x, ids in zip(names, found, strict=True) if len(x) <= LONGEST_KEPT)
-        return known
-
-    def slices(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first row, ids of consecutive rows in a row, where each row's begin and the last ends). Nulls are empty."""
+    def forget(self) -> None:
+        self.cuts, self.ids, self.begin, self.size = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _known(self, cuts: pa.Array, distinct: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and of each cut where they begin and how many. The first cuts, so many, are distinct and may be kept."""
+        n_kept = len(self.cuts)
+        which = pc.fill_null(pc.index_in(cuts, value_set=self.cuts), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(which < 0)
+        which[new] = n_kept + np.arange(len(new))
+        ids, begin, size = self._encode_new(cuts.take(pa.array(new)))
+        ids, begin, size = np.concatenate([self.ids, ids]), np.concatenate([self.begin, begin + len(self.ids)]), np.concatenate([self.size, size])
+        # what this slice uses goes first, then what was kept before, the most lately used first
+        unused = np.ones(n_kept + len(new), bool)
+        unused[which] = False
+        brief = np.flatnonzero(np.asarray(pc.binary_length(cuts[:distinct])) <= LONGEST_KEPT)[:CACHE_CUTS]
+        rest = np.flatnonzero(unused[:n_kept])[: CACHE_CUTS - len(brief)]
+        self.cuts = pa.concat_arrays([cuts.take(pa.array(brief)), self.cuts.take(pa.array(rest))])
+        held = np.concatenate([which[brief], rest])
+        self.size = size[held]
+        self.ids, self.begin = ids[_places(begin[held], self.size)], np.cumsum(self.size) - self.size
+        return ids, begin[which], size[which]
+
+    def slices(self, column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids of consecutive rows in a row, where each row's begin and the last ends), of texts of `most`
+        bytes or of one longer text. Nulls are empty."""
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -152,7 +193,7 @@ class Encoder:
         lo = 0
         while lo < len(column):
             done = ends[lo - 1] if lo else 0
-            hi = max(lo + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, done + most, "right")))
             yield lo, *self._slice(column[lo:hi])
             lo = hi
 
@@ -167,23 +208,21 @@ class Encoder:
         lists = pc.split_pattern(spaced, " ")
         at = np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        codes, vocabulary = np.asarray(coded.indices, np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes, vocabulary = np.asarray(coded.indices, np.int64), coded.dictionary
+        distinct = len(vocabulary)
         if self.blank_in_piece:
-            odd = np.fromiter((x == "" or x == "\n" for x in vocabulary), bool, len(vocabulary))
+            odd = np.asarray(pc.is_in(vocabulary, value_set=pa.array(["", "\n"], vocabulary.type)))
             bad |= np.add.reduceat(odd[codes], at[:-1]) > 0
             bad |= np.asarray(pc.match_substring_regex(texts, ODD_SPACE))
-            firsts = [vocabulary[c] for c in codes[at[:-1]].tolist()]
-            codes[at[:-1]] = len(vocabulary) + np.arange(len(firsts))
-            vocabulary = [x[1:] if x[:1] == "\x00" else x if x[:1] == "\n" or not x else " " + x for x in vocabulary] + firsts
-        known = self._known(vocabulary)
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat, begin = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+            firsts = vocabulary.take(pa.array(codes[at[:-1]]))
+            codes[at[:-1]] = distinct + np.arange(len(firsts))
+            none, blank = pa.scalar("", vocabulary.type), pa.scalar(" ", vocabulary.type)
+            before = pc.if_else(pc.or_(pa.array(odd), pc.match_substring_regex(vocabulary, "^[\\x00\n]")), none, blank)
+            vocabulary = pa.concat_arrays([pc.replace_substring_regex(pc.binary_join_element_wise(before, vocabulary, none), "^\\x00", ""), firsts])
+        flat, begin, size = self._known(vocabulary, distinct)
         each = size[codes]
         to = np.cumsum(each)
-        # places fit 4 bytes: a slice is a few MB, or one text, and a text's ids are no more than its bytes
-        at_flat = np.repeat((begin[codes] - to + each).astype(np.int32), each)
-        at_flat += np.arange(len(at_flat), dtype=np.int32)
-        ids = flat[at_flat]
+        ids = flat[_places(begin[codes], each)]
         bounds = np.concatenate([[0], to])[at]
         rows = np.flatnonzero(bad)
         if len(rows):
@@ -218,4 +257,4 @@ def encoder(path: str) -> Iterator[Encoder]:
     try:
         yield _encoders[path]
     finally:
-        _encoders[path].kept, _encoders[path].old = {}, {}
+        _encoders[path].forget()

@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from graphloom.llm import chunk_store as K
 from graphloom.llm import packing as P
+from graphloom.llm import tokens
 from graphloom.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY
 from graphloom.llm.tokens import Encoder
 
@@ -37,6 +38,29 @@ def test_cuts_don_t_change_ids(name):
             assert ids[at[k] : at[k + 1]].tolist() == plain.encode(texts[first + k] or "", add_special_tokens=False).ids, texts[first + k]
 
 
+@pytest.mark.parametrize("name", [WORD_VOCABULARY, BYTE_VOCABULARY])
+def test_kept_cuts_give_way_and_words_go_together(name, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_CUTS", 40)
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abeétsßŁ") for _ in range(rnd.randrange(1, 12))) for _ in range(3_000)]
+    words += ["x" * 70, "12,5", "d'été,"]
+    texts = [" ".join(rnd.choices(words[: rnd.choice([20, 3_003])], k=50)) for _ in range(400)]
+    encoder, sent = Encoder(public_tokenizers.path(name)), []
+
+    class Counted:
+        def __init__(self, model):
+            self.tokenize, self.token_to_id = (lambda text: sent.append(text) or model.tokenize(text)), model.token_to_id
+
+    encoder.model = Counted(encoder.model)
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    for first, ids, at in encoder.slices(pa.array(texts), 20_000):
+        for k in range(len(at) - 1):
+            assert ids[at[k] : at[k + 1]].tolist() == plain.encode(texts[first + k], add_special_tokens=False).ids
+        assert len(encoder.cuts) <= 40 and len(encoder.ids) == encoder.size.sum()
+    if name == BYTE_VOCABULARY:  # the other one marks the ends of words, so there they go one by one
+        assert len(sent) < 200
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rnd = random.Random(2)
